@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pressledger import rules
-from pressledger.functions.text import WS, clean_optional
+from pressledger.functions.text import WS, clean_optional, evaluated_once
 
 DATE_COLUMNS = [
     "published_date", "published_year", "published_quarter", "published_month",
@@ -31,24 +31,23 @@ _SHAPES = (
 )
 
 
-def _month_number(c: Column) -> Column:
-    """Digits stay; a month name becomes its number by its first three letters."""
+def _month_number(name: Column) -> Column:
+    """Number of a month name, by its first three letters."""
     short = F.array(*[F.lit(m[:3]) for m in rules.MONTH_NAMES])
-    return F.when(c.rlike("^[0-9]"), c).otherwise(
-        F.array_position(short, F.lower(F.substring(c, 1, 3))).cast("string")
-    )
+    return F.array_position(short, F.lower(F.substring(name, 1, 3))).cast("string")
 
 
 def iso_text(text: Column) -> Column:
     """``y-m-d`` text of the one shape that matches, NULL when none does."""
     case = F
     for pattern, year, month, day in _SHAPES:
+        month_text = F.regexp_extract(text, pattern, month)
         case = case.when(
             text.rlike(pattern),
             F.concat_ws(
                 "-",
                 F.regexp_extract(text, pattern, year),
-                _month_number(F.regexp_extract(text, pattern, month)),
+                _month_number(month_text) if pattern.startswith("(?iu)") else month_text,
                 F.trim(F.regexp_extract(text, pattern, day)),
             ),
         )
@@ -57,12 +56,12 @@ def iso_text(text: Column) -> Column:
 
 def parse_published_date(df: DataFrame, column: str = "published_date_raw") -> DataFrame:
     """Add the six ``DATE_COLUMNS`` parsed from a text column."""
-    text, day = F.col("_date_text"), F.col("published_date")
+    text, day = F.col("_date_text"), F.col("_date_day")
     staged = (
         df.withColumn("_date_text", clean_optional(F.col(column)))
         .withColumn("_date_iso", iso_text(text))
         .withColumn(
-            "published_date",
+            "_date_day",
             F.when(~F.col("_date_iso").startswith("0000"), F.col("_date_iso")).try_cast("date"),
         )
     )
@@ -70,16 +69,18 @@ def parse_published_date(df: DataFrame, column: str = "published_date_raw") -> D
     both_could_be_months = text.rlike(_SLASH) & (F.regexp_extract(text, _SLASH, 1).try_cast("int") <= 12) & (
         F.trim(F.regexp_extract(text, _SLASH, 2)).try_cast("int") <= 12
     )
-    result = staged.withColumns({
-        "published_year": F.year(day),
-        "published_quarter": F.quarter(day),
-        "published_month": F.month(day),
-        "date_parse_status": F.when(missing, "MISSING").when(day.isNull(), "INVALID").otherwise("PARSED"),
-        "date_parse_reason": F.when(missing, REASON_MISSING)
+    result = F.struct(
+        day.alias("published_date"),
+        F.year(day).alias("published_year"),
+        F.quarter(day).alias("published_quarter"),
+        F.month(day).alias("published_month"),
+        F.when(missing, "MISSING").when(day.isNull(), "INVALID").otherwise("PARSED").alias("date_parse_status"),
+        F.when(missing, REASON_MISSING)
         .when(day.isNull(), REASON_INVALID)
-        .when(both_could_be_months, REASON_AMBIGUOUS),
-    })
-    return result.select(*df.columns, *DATE_COLUMNS)
+        .when(both_could_be_months, REASON_AMBIGUOUS)
+        .alias("date_parse_reason"),
+    )
+    return staged.select(*df.columns, evaluated_once(result))
 
 
 def observation_status(observation_date: Column) -> Column:

@@ -61,20 +61,21 @@ def _escaped_char(ch: Column) -> Column:
 
 
 def _json_string(c: Column) -> Column:
-    """ASCII JSON string; plain text takes the cheap branch."""
-    return F.concat(
-        F.lit('"'),
-        F.when(c.rlike(r'^[ !#-\[\]-~]*$'), c).otherwise(
-            F.array_join(F.transform(F.regexp_extract_all(c, F.lit("(?s)."), F.lit(0)), _escaped_char), "")
-        ),
-        F.lit('"'),
-    )
+    """A JSON string in ASCII."""
+    chars = F.regexp_extract_all(c, F.lit("(?s)."), F.lit(0))
+    return F.concat(F.lit('"'), F.array_join(F.transform(chars, _escaped_char), ""), F.lit('"'))
 
 
 def record_hash(*values: Column) -> Column:
-    """SHA-256 of a compact JSON array of the values as strings; NULL stays null."""
-    parts = [F.coalesce(_json_string(v), F.lit("null")) for v in values]
-    return F.sha2(F.concat(F.lit("["), F.concat_ws(",", *parts), F.lit("]")), 256)
+    """SHA-256 of a compact JSON array of the values as strings; NULL stays null.
+
+    Records without quotes, controls or non-ASCII characters take a branch that only concatenates.
+    """
+    quoted = [F.coalesce(F.concat(F.lit('"'), v, F.lit('"')), F.lit("null")) for v in values]
+    escaped = F.array_join(F.transform(F.array(*values), _json_string), ",", "null")
+    plain = F.concat_ws("", *values).rlike(r"^[ !#-\[\]-~]*$")
+    body = F.when(plain, F.concat_ws(",", *quoted)).otherwise(escaped)
+    return F.sha2(F.concat(F.lit("["), body, F.lit("]")), 256)
 
 
 def bool_text(c: Column) -> Column:

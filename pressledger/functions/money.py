@@ -1,11 +1,12 @@
 """Free-text revenue to an integer US-dollar amount, as native expressions."""
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pressledger import rules
-from pressledger.functions.text import WS, clean_optional, strip
+from pressledger.functions.text import WS, clean_optional, evaluated_once, strip
 
 ARR_COLUMNS = [
     "arr_usd", "source_currency", "lower_bound_source", "upper_bound_source",
@@ -56,10 +57,8 @@ def strip_currency(text: Column) -> Column:
 
 
 def _multiplier(scale: Column) -> Column:
-    case = F
-    for word, factor in rules.SCALE_WORDS.items():
-        case = case.when(scale == word, F.lit(factor).cast("decimal(10,0)"))
-    return case.otherwise(F.lit(1).cast("decimal(10,0)"))
+    pairs = [F.lit(x) for word, factor in rules.SCALE_WORDS.items() for x in (word, Decimal(factor))]
+    return F.coalesce(F.element_at(F.create_map(*pairs), scale), F.lit(Decimal(1))).cast("decimal(10,0)")
 
 
 def to_usd(total_of_bounds: Column, currency: Column) -> Column:
@@ -82,7 +81,8 @@ def to_usd(total_of_bounds: Column, currency: Column) -> Column:
 def parse_arr(df: DataFrame, column: str = "revenue_raw") -> DataFrame:
     """Add the six ``ARR_COLUMNS`` parsed from a text column.
 
-    The steps are separate projections, so each intermediate is computed once per row.
+    The steps are separate projections, so each intermediate is computed once per row; see
+    ``evaluated_once`` for the last one.
     """
     text = F.col("_arr_text")
     parts = F.col("_arr_parts")
@@ -134,23 +134,20 @@ def parse_arr(df: DataFrame, column: str = "revenue_raw") -> DataFrame:
         .when(F.col("_arr_lo") > F.col("_arr_hi"), REASON_BOUNDS)
         .when(F.col("_arr_usd").isNull(), REASON_TOO_LARGE)
     )
-    parsed = F.col("arr_parse_status") == "PARSED"
-    result = (
-        staged.withColumn("arr_parse_reason", reason)
-        .withColumn(
-            "arr_parse_status",
-            F.when(F.col("arr_parse_reason").isNull(), "PARSED")
-            .when(F.col("arr_parse_reason") == REASON_MISSING, "MISSING")
-            .when(F.col("arr_parse_reason") == REASON_UNDISCLOSED, "UNDISCLOSED")
-            .otherwise("INVALID_FORMAT"),
-        )
-        .withColumns({
-            "arr_usd": F.when(parsed, F.col("_arr_usd")),
-            "source_currency": F.when(
-                F.col("arr_parse_status").isin("PARSED", "INVALID_FORMAT"), F.col("_arr_currency")
-            ),
-            "lower_bound_source": F.when(parsed, F.col("_arr_lo").cast(_BOUND)),
-            "upper_bound_source": F.when(parsed, F.col("_arr_hi").cast(_BOUND)),
-        })
+    status = (
+        F.when(F.col("_arr_reason").isNull(), "PARSED")
+        .when(F.col("_arr_reason") == REASON_MISSING, "MISSING")
+        .when(F.col("_arr_reason") == REASON_UNDISCLOSED, "UNDISCLOSED")
+        .otherwise("INVALID_FORMAT")
+    )
+    parsed = F.col("_arr_status") == "PARSED"
+    result = F.struct(
+        F.when(parsed, F.col("_arr_usd")).alias("arr_usd"),
+        F.when(F.col("_arr_status").isin("PARSED", "INVALID_FORMAT"), F.col("_arr_currency")).alias("source_currency"),
+        F.when(parsed, F.col("_arr_lo").cast(_BOUND)).alias("lower_bound_source"),
+        F.when(parsed, F.col("_arr_hi").cast(_BOUND)).alias("upper_bound_source"),
+        F.col("_arr_status").alias("arr_parse_status"),
+        F.col("_arr_reason").alias("arr_parse_reason"),
     )
-    return result.select(*df.columns, *ARR_COLUMNS)
+    final = staged.withColumn("_arr_reason", reason).withColumn("_arr_status", status)
+    return final.select(*df.columns, evaluated_once(result))

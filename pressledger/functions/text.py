@@ -35,3 +35,12 @@ def lookup_code(c: Column, codes: dict[str, str], default: str) -> Column:
         lambda case, item: case.when(label.isin(item[1]), F.lit(item[0])), by_code.items(), F
     )
     return branches.otherwise(F.lit(default))
+
+
+def evaluated_once(result: Column) -> Column:
+    """The fields of a struct as columns that later filters cannot pull apart.
+
+    A filter on a projected column is pushed down by copying its expression, and a long parse
+    would be copied with every reference. Generated columns are not copied.
+    """
+    return F.inline(F.array(result))

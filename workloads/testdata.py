@@ -11,97 +11,104 @@ CATEGORY_LABELS = [*rules.CATEGORY_CODES, "new category", ""]
 INDUSTRY_LABELS = ["AI/ML", "Cloud Computing", "FinTech", "Cybersecurity", "Data Analytics", "SaaS", "Other"]
 
 
-def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+}
 
 
-def _case(number, texts):
-    case = F
-    for value, text in enumerate(texts):
-        case = case.when(number == value, text if not isinstance(text, str) else F.lit(text))
-    return case
+def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
+
+
+def _labels(values) -> str:
+    return "array(" + ", ".join(f"'{v}'" for v in values) + ")"
+
+
+_REVENUE = """
+CASE o_orderkey % 20
+  WHEN 0 THEN concat('$', k div 1000, ',', lpad(string(k % 1000), 3, '0'))
+  WHEN 1 THEN concat(k div 10, '.', k % 10, 'M')
+  WHEN 2 THEN concat(k, ' million')
+  WHEN 3 THEN concat(k, 'K USD')
+  WHEN 4 THEN concat('$', k, 'M - $', k + 10, 'M')
+  WHEN 5 THEN concat('€', k, 'M')
+  WHEN 6 THEN concat('£', k, 'K')
+  WHEN 7 THEN concat('¥', k, 'B')
+  WHEN 8 THEN concat('JPY ', k)
+  WHEN 9 THEN 'N/A'
+  WHEN 10 THEN ''
+  WHEN 11 THEN ' Not disclosed '
+  WHEN 12 THEN 'garbage'
+  WHEN 13 THEN concat('$-', k, 'M')
+  WHEN 14 THEN concat('$', k + 10, 'M - $', k, 'M')
+  WHEN 15 THEN concat('€', k, 'M USD')
+  WHEN 16 THEN concat(k, ' - ', k + 20, 'M')
+  WHEN 17 THEN concat(k, 'm - ', k + 1, ' million')
+  WHEN 18 THEN concat('1 - 2 - ', k)
+  ELSE concat('GBP ', k, ' billion') END
+"""
+_DATE = """
+CASE (o_orderkey div 20) % 9
+  WHEN 0 THEN date_format(o_orderdate, 'yyyy-MM-dd')
+  WHEN 1 THEN date_format(o_orderdate, "yyyy-MM-dd'T'00:00:00'Z'")
+  WHEN 2 THEN date_format(o_orderdate, 'MM/dd/yyyy')
+  WHEN 3 THEN date_format(o_orderdate, 'dd-MM-yyyy')
+  WHEN 4 THEN date_format(o_orderdate, 'dd MMM yyyy')
+  WHEN 5 THEN date_format(o_orderdate, 'MMMM dd, yyyy')
+  WHEN 6 THEN ''
+  WHEN 7 THEN '31/12/2023'
+  ELSE '2023-02-30' END
+"""
+_COMPANY = """
+CASE (o_orderkey div 180) % 4
+  WHEN 0 THEN c_name
+  WHEN 1 THEN concat('  ', lower(c_name), ' ')
+  WHEN 2 THEN translate(c_name, '#', ' ')
+  ELSE concat('Cust-', right(c_name, 9)) END
+"""
 
 
 def orders_articles(spark: SparkSession, sf: str) -> DataFrame:
     """Orders with their customer as raw articles."""
-    k, key = F.col("k"), F.col("o_orderkey")
-    t = k.cast("string")
-    plus = lambda n: (k + n).cast("string")
-    div = lambda n: F.floor(k / n).cast("string")
-    revenue = _case(key % 20, [
-        F.concat(F.lit("$"), div(1000), F.lit(","), F.lpad((k % 1000).cast("string"), 3, "0")),
-        F.concat(div(10), F.lit("."), (k % 10).cast("string"), F.lit("M")),
-        F.concat(t, F.lit(" million")),
-        F.concat(t, F.lit("K USD")),
-        F.concat(F.lit("$"), t, F.lit("M - $"), plus(10), F.lit("M")),
-        F.concat(F.lit("€"), t, F.lit("M")),
-        F.concat(F.lit("£"), t, F.lit("K")),
-        F.concat(F.lit("¥"), t, F.lit("B")),
-        F.concat(F.lit("JPY "), t),
-        "N/A",
-        "",
-        " Not disclosed ",
-        "garbage",
-        F.concat(F.lit("$-"), t, F.lit("M")),
-        F.concat(F.lit("$"), plus(10), F.lit("M - $"), t, F.lit("M")),
-        F.concat(F.lit("€"), t, F.lit("M USD")),
-        F.concat(t, F.lit(" - "), plus(20), F.lit("M")),
-        F.concat(t, F.lit("m - "), plus(1), F.lit(" million")),
-        F.concat(F.lit("1 - 2 - "), t),
-        F.concat(F.lit("GBP "), t, F.lit(" billion")),
-    ])
-    day = F.col("o_orderdate")
-    date = _case(F.floor(key / 20) % 9, [
-        F.date_format(day, "yyyy-MM-dd"),
-        F.date_format(day, "yyyy-MM-dd'T'00:00:00'Z'"),
-        F.date_format(day, "MM/dd/yyyy"),
-        F.date_format(day, "dd-MM-yyyy"),
-        F.date_format(day, "dd MMM yyyy"),
-        F.date_format(day, "MMMM dd, yyyy"),
-        "",
-        "31/12/2023",
-        "2023-02-30",
-    ])
-    name = F.col("c_name")
-    company = _case(F.floor(key / 180) % 4, [
-        name,
-        F.concat(F.lit("  "), F.lower(name), F.lit(" ")),
-        F.translate(name, "#", " "),
-        F.concat(F.lit("Cust-"), F.substring(name, -9, 9)),
-    ])
-    label = F.get(F.array(*[F.lit(c) for c in CATEGORY_LABELS]), (key % len(CATEGORY_LABELS)).cast("int"))
-    article = F.concat(F.lit("ART"), F.lpad(key.cast("string"), 9, "0"))
-    orders = table(spark, sf, "orders").withColumn("k", F.floor("o_totalprice").cast("bigint"))
+    orders = table(spark, sf, "orders").selectExpr(
+        "*",
+        "bigint(floor(o_totalprice)) AS k",
+        "concat('ART', lpad(string(o_orderkey), 9, '0')) AS article_id",
+        f"get({_labels(CATEGORY_LABELS)}, int(o_orderkey % {len(CATEGORY_LABELS)})) AS label",
+    )
     customers = table(spark, sf, "customer").select("c_custkey", "c_name")
-    return orders.join(customers, orders.o_custkey == customers.c_custkey).select(
-        article.alias("article_id"),
-        F.concat(F.lit("Report "), key.cast("string")).alias("title"),
-        company.alias("company_name"),
-        date.alias("published_date"),
-        F.when(key % 2 == 1, F.upper(label)).otherwise(label).alias("category"),
-        revenue.alias("revenue"),
-        F.col("o_orderpriority").alias("summary"),
-        F.concat(F.lit("https://news.example/"), article).alias("url"),
-        F.col("o_orderstatus").alias("author"),
-        F.when(key % 10 == 9, "unknown").otherwise((key % 1000).cast("string")).alias("word_count"),
-        (key + 2).alias("source_row_number"),
-        F.lit("orders").alias("source_file"),
+    return orders.join(customers, orders.o_custkey == customers.c_custkey).selectExpr(
+        "article_id",
+        "concat('Report ', o_orderkey) AS title",
+        f"{_COMPANY} AS company_name",
+        f"{_DATE} AS published_date",
+        "if(o_orderkey % 2 = 1, upper(label), label) AS category",
+        f"{_REVENUE} AS revenue",
+        "o_orderpriority AS summary",
+        "concat('https://news.example/', article_id) AS url",
+        "o_orderstatus AS author",
+        "if(o_orderkey % 10 = 9, 'unknown', string(o_orderkey % 1000)) AS word_count",
+        "o_orderkey + 2 AS source_row_number",
+        "'orders' AS source_file",
     )
 
 
 def customer_master(spark: SparkSession, sf: str) -> DataFrame:
     """Nine of ten customers as company master data."""
-    key = F.col("c_custkey")
-    return table(spark, sf, "customer").filter(key % 10 != 9).select(
-        F.col("c_name").alias("company_name"),
-        key.alias("master_order"),
-        (1980 + key % 25).cast("int").alias("founded_year"),
-        F.col("c_mktsegment").alias("headquarters"),
-        _case(key % 8, [F.lit(9999), F.lit(10000), F.lit(30000), F.lit(30001), F.lit(-5), F.lit(None)])
-        .otherwise(key * 7).cast("int").alias("employee_count"),
-        F.get(F.array(*[F.lit(i) for i in INDUSTRY_LABELS]), (key % 7).cast("int")).alias("industry"),
-        (key % 2 == 0).alias("is_public"),
-        F.when(key % 3 == 0, F.concat(F.lit("T"), key.cast("string"))).when(key % 3 == 1, "").alias("stock_ticker"),
+    return table(spark, sf, "customer").filter("c_custkey % 10 <> 9").selectExpr(
+        "c_name AS company_name",
+        "c_custkey AS master_order",
+        "int(1980 + c_custkey % 25) AS founded_year",
+        "c_mktsegment AS headquarters",
+        """int(CASE c_custkey % 8 WHEN 0 THEN 9999 WHEN 1 THEN 10000 WHEN 2 THEN 30000 WHEN 3 THEN 30001
+               WHEN 4 THEN -5 WHEN 5 THEN NULL ELSE c_custkey * 7 END) AS employee_count""",
+        f"get({_labels(INDUSTRY_LABELS)}, int(c_custkey % 7)) AS industry",
+        "c_custkey % 2 = 0 AS is_public",
+        "CASE c_custkey % 3 WHEN 0 THEN concat('T', c_custkey) WHEN 1 THEN '' END AS stock_ticker",
     )
 
 
@@ -119,20 +126,16 @@ def customer_ambiguous(spark: SparkSession, sf: str) -> DataFrame:
 
 def document_articles(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as articles with whole texts: the first line is the title, the rest the summary."""
-    doc, text = F.col("doc_id"), F.col("text")
-    at = F.instr(text, "\n")
-    labels = F.array(*[F.lit(c) for c in CATEGORY_LABELS])
-    industries = F.array(*[F.lit(i) for i in INDUSTRY_LABELS])
-    return table(spark, sf, "documents").select(
-        doc.cast("string").alias("article_id"),
-        F.when(at > 0, F.substring_index(text, "\n", 1)).otherwise(text).alias("title"),
-        F.when(at > 0, F.substr(text, at + 1)).otherwise("").alias("summary"),
-        F.col("source").alias("company_name"),
-        F.date_add(F.lit("2022-01-01").cast("date"), (doc % 1461).cast("int")).alias("published_date"),
-        F.get(labels, (doc % 21).cast("int")).alias("category"),
-        F.get(industries, (doc % 7).cast("int")).alias("industry"),
-        F.when(doc % 4 != 3, F.col("n_chars") * 100000).alias("arr_usd"),
-        doc.alias("source_row_number"),
+    return table(spark, sf, "documents").selectExpr(
+        "string(doc_id) AS article_id",
+        "substring_index(text, '\n', 1) AS title",
+        "if(instr(text, '\n') > 0, substr(text, instr(text, '\n') + 1), '') AS summary",
+        "source AS company_name",
+        "date_add(DATE '2022-01-01', int(doc_id % 1461)) AS published_date",
+        f"get({_labels(CATEGORY_LABELS)}, int(doc_id % {len(CATEGORY_LABELS)})) AS category",
+        f"get({_labels(INDUSTRY_LABELS)}, int(doc_id % {len(INDUSTRY_LABELS)})) AS industry",
+        "if(doc_id % 4 <> 3, n_chars * 100000, NULL) AS arr_usd",
+        "doc_id AS source_row_number",
     )
 
 
