@@ -60,10 +60,14 @@ def _escaped_char(ch: Column) -> Column:
     )
 
 
+_PLAIN = r"^[ !#-\[\]-~]*$"
+
+
 def _json_string(c: Column) -> Column:
-    """A JSON string in ASCII."""
+    """A JSON string in ASCII; only text that needs it is taken apart."""
     chars = F.regexp_extract_all(c, F.lit("(?s)."), F.lit(0))
-    return F.concat(F.lit('"'), F.array_join(F.transform(chars, _escaped_char), ""), F.lit('"'))
+    body = F.when(c.rlike(_PLAIN), c).otherwise(F.array_join(F.transform(chars, _escaped_char), ""))
+    return F.concat(F.lit('"'), body, F.lit('"'))
 
 
 def record_hash(*values: Column) -> Column:
@@ -73,7 +77,7 @@ def record_hash(*values: Column) -> Column:
     """
     quoted = [F.coalesce(F.concat(F.lit('"'), v, F.lit('"')), F.lit("null")) for v in values]
     escaped = F.array_join(F.transform(F.array(*values), _json_string), ",", "null")
-    plain = F.concat_ws("", *values).rlike(r"^[ !#-\[\]-~]*$")
+    plain = F.concat_ws("", *values).rlike(_PLAIN)
     body = F.when(plain, F.concat_ws(",", *quoted)).otherwise(escaped)
     return F.sha2(F.concat(F.lit("["), body, F.lit("]")), 256)
 

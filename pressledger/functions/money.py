@@ -24,7 +24,7 @@ REASON_SCALES = "range endpoints use different scales"
 REASON_BOUNDS = "range lower bound exceeds upper bound"
 REASON_TOO_LARGE = "amount exceeds the supported range"
 _AMOUNT = (
-    r"(?iu)^([+-]?[0-9]+(?:\.[0-9]+)?)" + WS + "*(" + "|".join(rules.SCALE_WORDS) + r")?$"
+    r"(?iu)^([+-]?[0-9]+(?:\.[0-9]+)?)" + WS + "*(?:" + "|".join(rules.SCALE_WORDS) + r")?$"
 )
 
 _NOT_WORD_BEFORE = r"(?<![\p{L}\p{N}_])"
@@ -40,22 +40,28 @@ def _code_pattern(codes: str) -> str:
     return f"(?iu){_NOT_WORD_BEFORE}(?:{codes}){_NOT_WORD_AFTER}"
 
 
-def currency_marks(text: Column) -> dict[str, Column]:
-    """Per currency, whether its symbol or stand-alone code appears in the text."""
+def currency_marks(text: Column, upper: Column) -> dict[str, Column]:
+    """Per currency, whether its symbol or stand-alone code appears; the regex sees candidates only."""
     return {
-        f"_arr_is_{code}": text.contains(symbol) | text.rlike(_code_pattern(code))
+        f"_arr_is_{code}": text.contains(symbol) | (upper.contains(code) & text.rlike(_code_pattern(code)))
         for symbol, code in rules.CURRENCY_SYMBOLS.items()
     }
 
 
-def strip_currency(text: Column) -> Column:
+def strip_currency(text: Column, has_code: Column) -> Column:
     """Remove symbols, then stand-alone codes, then commas; the order decides edge cases."""
     no_symbols = F.translate(text, "".join(rules.CURRENCY_SYMBOLS), "")
     codes = "|".join(rules.CURRENCY_SYMBOLS.values())
-    no_codes = F.regexp_replace(no_symbols, _code_pattern(codes), "")
+    no_codes = F.when(has_code, F.regexp_replace(no_symbols, _code_pattern(codes), "")).otherwise(no_symbols)
     return strip(F.translate(no_codes, ",", ""))
 
 
+def _scale(text: Column, digits: Column) -> Column:
+    """What follows the number, in lower case; NULL when nothing does or nothing matched."""
+    rest = F.lower(strip(F.substr(text, F.length(digits) + 1)))
+    return F.when((digits != "") & (rest != ""), rest)
+
+
 def _multiplier(scale: Column) -> Column:
     pairs = [F.lit(x) for word, factor in rules.SCALE_WORDS.items() for x in (word, Decimal(factor))]
     return F.coalesce(F.element_at(F.create_map(*pairs), scale), F.lit(Decimal(1))).cast("decimal(10,0)")
@@ -64,18 +70,12 @@ def _multiplier(scale: Column) -> Column:
 def to_usd(total_of_bounds: Column, currency: Column) -> Column:
     """Half of lower + upper, converted and rounded half up once; NULL beyond bigint."""
     total = total_of_bounds.try_cast(_TOTAL)
-    case = F
-    for code, rate in rules.USD_PER_UNIT.items():
-        half = F.lit(rate).cast("decimal(3,2)") * F.lit("0.5").cast("decimal(2,1)")
-        case = case.when(
-            currency == code, F.round(total * half.cast("decimal(4,3)"), 0).try_cast("bigint")
-        )
+    halves = [F.lit(x) for code, rate in rules.USD_PER_UNIT.items() for x in (code, Decimal(rate) / 2)]
+    usd = F.round(total * F.element_at(F.create_map(*halves), currency).cast("decimal(4,3)"), 0).cast("decimal(38,0)")
     for code, units in rules.UNITS_PER_USD.items():
-        case = case.when(
-            currency == code,
-            F.round(total / F.lit(2 * units).cast("decimal(4,0)"), 0).try_cast("bigint"),
-        )
-    return case
+        divided = F.round(total / F.lit(Decimal(2 * units)).cast("decimal(4,0)"), 0).cast("decimal(38,0)")
+        usd = F.when(currency == code, divided).otherwise(usd)
+    return usd.try_cast("bigint")
 
 
 def parse_arr(df: DataFrame, column: str = "revenue_raw") -> DataFrame:
@@ -86,28 +86,31 @@ def parse_arr(df: DataFrame, column: str = "revenue_raw") -> DataFrame:
     """
     text = F.col("_arr_text")
     parts = F.col("_arr_parts")
-    marks = currency_marks(text)
+    marks = currency_marks(text, F.col("_arr_upper"))
     found = reduce(lambda a, b: a + b, [F.when(F.col(m), 1).otherwise(0) for m in marks])
     single = F.coalesce(*[F.when(F.col(m), m.removeprefix("_arr_is_")) for m in marks], F.lit("USD"))
     staged = (
         df.withColumn("_arr_text", clean_optional(F.col(column)))
+        .withColumn("_arr_upper", F.upper(text))
         .withColumns(marks | {
             "_arr_marker": F.lower(F.coalesce(text, F.lit(""))),
-            "_arr_parts": F.split(text, f"{WS}+-{WS}+", -1),
+            "_arr_parts": F.when(text.contains("-"), F.split(text, f"{WS}+-{WS}+", -1)).otherwise(F.array(text)),
+            "_arr_has_code": reduce(
+                lambda a, b: a | b, [F.col("_arr_upper").contains(code) for code in rules.CURRENCY_SYMBOLS.values()]
+            ),
         })
         .withColumns({
             "_arr_found": found,
             "_arr_currency": F.when(found <= 1, single),
             "_arr_ends": F.size(parts),
-            "_arr_a": strip_currency(F.get(parts, 0)),
-            "_arr_b": strip_currency(F.get(parts, 1)),
+            "_arr_a": strip_currency(F.get(parts, 0), F.col("_arr_has_code")),
+            "_arr_b": strip_currency(F.get(parts, 1), F.col("_arr_has_code")),
         })
+        .withColumns({f"_arr_digits_{end}": F.regexp_extract(f"_arr_{end}", _AMOUNT, 1) for end in "ab"})
         .withColumns({
-            f"_arr_n{i}": F.regexp_extract(f"_arr_{end}", _AMOUNT, 1).try_cast(_NUMBER)
-            for i, end in enumerate("ab")
+            f"_arr_n{i}": F.col(f"_arr_digits_{end}").try_cast(_NUMBER) for i, end in enumerate("ab")
         } | {
-            f"_arr_s{i}": F.nullif(F.lower(F.regexp_extract(f"_arr_{end}", _AMOUNT, 2)), F.lit(""))
-            for i, end in enumerate("ab")
+            f"_arr_s{i}": _scale(F.col(f"_arr_{end}"), F.col(f"_arr_digits_{end}")) for i, end in enumerate("ab")
         })
         .withColumns({
             "_arr_lo": F.col("_arr_n0") * _multiplier(F.coalesce("_arr_s0", "_arr_s1")),

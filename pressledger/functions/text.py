@@ -4,13 +4,13 @@ from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
-# Whitespace as Python's str.strip sees it; Spark's trim removes spaces only.
-WS = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
-_EDGES = f"^{WS}+|{WS}+$"
+# Whitespace as Python's str.strip sees it; Spark's trim alone removes spaces only.
+WS_CHARS = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
+WS = "[" + "".join(f"\\x{{{ord(ch):x}}}" for ch in WS_CHARS) + "]"
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, _EDGES, "")
+    return F.trim(c, F.lit(WS_CHARS))
 
 
 def clean_optional(c: Column) -> Column:

@@ -15,6 +15,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", memory)
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # Larger generated methods are never JIT-compiled; smaller pieces are.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -33,3 +35,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pressledger-checkpoint-"))
     return df.checkpoint()
+
+
+def spread_if_small(df: DataFrame, limit: int = 1 << 30) -> DataFrame:
+    """Spread an input below ``limit`` bytes over all cores.
+
+    A small file is often one row group, hence one task whatever the number of cores. Larger
+    inputs already have many splits and are left alone.
+    """
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(size)) > limit:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)

@@ -360,7 +360,7 @@ SELECT CAST(s AS VARCHAR) AS source_article_id, CAST(m AS VARCHAR) AS similar_ar
         '[' || string_agg(CAST(m AS VARCHAR), ',' ORDER BY r) || ']' AS top_similar_articles FROM top GROUP BY s""",
     "normalize_vectors": """WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
         s AS (SELECT vec_id, x, sqrt(list_inner_product(x, x)) AS norm FROM e)
-        SELECT vec_id AS article_id, CAST(i - 1 AS INTEGER) AS at, round(round(x[i] / norm, 8), 6) AS value
+        SELECT vec_id AS article_id, CAST(i - 1 AS INTEGER) AS at, round(x[i] / norm, 8) AS value
         FROM (SELECT vec_id, x, norm, unnest(range(1, len(x) + 1)) AS i FROM s)""",
     "vector_profile": """WITH e AS (SELECT CAST(embedding AS DOUBLE[]) AS x FROM embeddings)
         SELECT count(*) AS vectors, CAST(min(len(x)) AS INTEGER) AS min_dimension, CAST(max(len(x)) AS INTEGER) AS max_dimension,

@@ -290,7 +290,7 @@ def q_normalize_vectors(spark, sf):
     scaled = similarity.normalize_vectors(td.embedding_vectors(spark, sf))
     return scaled.select(
         "article_id", F.posexplode(similarity.rounded_vector(F.col("embedding"))).alias("at", "value")
-    ).withColumn("value", F.round("value", 6))
+    )
 
 
 def q_vector_profile(spark, sf):

@@ -6,6 +6,7 @@ Every messy text follows from a case number, so the expected result is known wit
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pressledger import rules
+from pressledger.session import spread_if_small
 
 CATEGORY_LABELS = [*rules.CATEGORY_CODES, "new category", ""]
 INDUSTRY_LABELS = ["AI/ML", "Cloud Computing", "FinTech", "Cybersecurity", "Data Analytics", "SaaS", "Other"]
@@ -74,7 +75,7 @@ CASE (o_orderkey div 180) % 4
 
 def orders_articles(spark: SparkSession, sf: str) -> DataFrame:
     """Orders with their customer as raw articles."""
-    orders = table(spark, sf, "orders").selectExpr(
+    orders = spread_if_small(table(spark, sf, "orders")).selectExpr(
         "*",
         "bigint(floor(o_totalprice)) AS k",
         "concat('ART', lpad(string(o_orderkey), 9, '0')) AS article_id",
@@ -126,7 +127,7 @@ def customer_ambiguous(spark: SparkSession, sf: str) -> DataFrame:
 
 def document_articles(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as articles with whole texts: the first line is the title, the rest the summary."""
-    return table(spark, sf, "documents").selectExpr(
+    return spread_if_small(table(spark, sf, "documents")).selectExpr(
         "string(doc_id) AS article_id",
         "substring_index(text, '\n', 1) AS title",
         "if(instr(text, '\n') > 0, substr(text, instr(text, '\n') + 1), '') AS summary",
