@@ -5,7 +5,7 @@ import unicodedata
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pressledger.functions.keys import company_id
 from pressledger.functions.text import strip
@@ -14,7 +14,7 @@ from pressledger.operators.fuzzy import fuzzy_suggest
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _compatibility_fold(names: pd.Series) -> pd.Series:
     return names.map(lambda s: unicodedata.normalize("NFKC", s).casefold(), na_action="ignore")
 
