@@ -111,14 +111,12 @@ def _prepared(spark, sf):
     return model.prepare_articles(td.orders_articles(spark, sf))
 
 
-def _resolve(prepared, master, spark, sf):
-    return resolve_companies(
-        distinct_names(prepared), master, td.customer_aliases(spark, sf), td.customer_ambiguous(spark, sf)
-    )
+def _resolve(names, master, spark, sf):
+    return resolve_companies(names, master, td.customer_aliases(spark, sf), td.customer_ambiguous(spark, sf))
 
 
 def _resolved(spark, sf):
-    return _resolve(_prepared(spark, sf), td.customer_master(spark, sf), spark, sf)
+    return _resolve(distinct_names(_prepared(spark, sf)), td.customer_master(spark, sf), spark, sf)
 
 
 def q_resolve_company(spark, sf):
@@ -142,17 +140,17 @@ def _dim_of(master, resolved):
 
 def _dim(spark, sf):
     master = td.customer_master(spark, sf)
-    return _dim_of(master, _resolve(_prepared(spark, sf), master, spark, sf))
+    return _dim_of(master, _resolve(distinct_names(_prepared(spark, sf)), master, spark, sf))
 
 
 def _star(spark, sf):
     """Dimension and article fact from one definition of the inputs."""
     prepared, master = _prepared(spark, sf), td.customer_master(spark, sf)
-    resolved = _resolve(prepared, master, spark, sf)
+    names = distinct_names(prepared)
+    resolved = _resolve(names, master, spark, sf)
     dim = _dim_of(master, resolved)
     fact = model.build_fact_article(
-        model.clean_articles(prepared), model.name_lookup(resolved, dim),
-        resolved.select("company_name_raw", "n"), RUN_ID,
+        model.clean_articles(prepared), model.name_lookup(resolved, dim), names.select("company_name_raw", "n"), RUN_ID
     )
     return dim, fact
 
@@ -164,11 +162,12 @@ def _fact(spark, sf):
 def _arr(spark, sf):
     """Observations need the identity only, not the company attributes."""
     prepared = _prepared(spark, sf)
-    resolved = _resolve(prepared, td.customer_master(spark, sf), spark, sf)
+    names = distinct_names(prepared)
+    resolved = _resolve(names, td.customer_master(spark, sf), spark, sf)
     cleaned = model.clean_articles(prepared).filter(F.col("arr_parse_status") == "PARSED")
     fact = lookup_join(
         cleaned, resolved.select("company_name_raw", "company_id", "company_match_status"), "company_name_raw",
-        F.col("article_id"), resolved.select("company_name_raw", "n"),
+        F.col("article_id"), names.select("company_name_raw", "n"),
     )
     return model.build_fact_arr(fact.withColumn("pipeline_run_id", F.lit(RUN_ID)))
 
