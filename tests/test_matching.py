@@ -110,7 +110,7 @@ def test_fuzzy_equals_brute_force(spark):
     found = {
         r.name_norm: (r.suggestion, r.score)
         for r in fuzzy_suggest(
-            spark.createDataFrame([(q,) for q in queries], "name_norm string"), points, block_rows=16, max_pivots=7
+            spark.createDataFrame([(q,) for q in queries], "name_norm string"), points, block_rows=8, max_pivots=4
         ).collect()
     }
     for q in queries:

@@ -37,14 +37,14 @@ def test_neighbours_equal_brute_force_with_copies_zeros_and_clusters(spark, seed
     copies = np.repeat(rows[:1], 60, axis=0)  # a third of all rows
     matrix = np.vstack([rows, copies, np.zeros((3, 8)), rows[5:8]])
     matrix = matrix[rng.permutation(len(matrix))]
-    ids, got = lists_of(spark, matrix, block_rows=16, max_pivots=6, hot_min_rows=20)
+    ids, got = lists_of(spark, matrix, block_rows=8, max_pivots=4, hot_min_rows=20)
     assert got == brute_force(ids, matrix, 3)
 
 
 def test_vectors_need_not_be_unit_length(spark):
     rng = np.random.default_rng(5)
     matrix = rng.normal(size=(70, 4)) * rng.uniform(0.1, 20, size=(70, 1))
-    ids, got = lists_of(spark, matrix, block_rows=8, max_pivots=5)
+    ids, got = lists_of(spark, matrix, block_rows=4, max_pivots=3)
     assert got == brute_force(ids, matrix, 3)
 
 
