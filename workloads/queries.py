@@ -22,6 +22,7 @@ from pressledger.operators.quality import quality_issues
 from pressledger.plans import model
 from pressledger.plans.run import run
 from pressledger.schemas import ARTICLE_COLUMNS
+from pressledger.session import checkpointed
 from pressledger.sources.published import read_current
 from workloads import testdata as td
 
@@ -272,8 +273,8 @@ def q_hybrid_search(spark, sf):
 
 def q_similar_documents(spark, sf):
     docs = _documents(spark, sf).select("article_id", F.col("source_row_number").alias("position"), "text")
-    vectors = tfidf.fit_tfidf(docs, "text").transform(docs, "text")
-    return similarity.similarity_bridge(similarity.similar_list(vectors))
+    vectors = tfidf.fit_tfidf(docs, "text").transform(docs, "text").drop("text")
+    return similarity.similarity_bridge(similarity.similar_list(checkpointed(vectors)))
 
 
 def q_similar_topn(spark, sf):
@@ -316,10 +317,11 @@ def q_search_alignment(spark, sf):
 # --- validation, publishing ---
 
 def q_validation_report(spark, sf):
+    # Checks read finished tables, as they do in a run, and do not rebuild them one by one.
     tables = {
-        "dim_company": _dim(spark, sf),
-        "fact_article": _prepared(spark, sf),
-        "fact_arr_observation": _arr(spark, sf),
+        "dim_company": checkpointed(_dim(spark, sf)),
+        "fact_article": checkpointed(_prepared(spark, sf).select("article_id", "source_row_number")),
+        "fact_arr_observation": checkpointed(_arr(spark, sf)),
     }
     return validate.validation_report(tables)
 
