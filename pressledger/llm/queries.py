@@ -1,8 +1,8 @@
 """Registered queries of this subpackage: each applies one operator to its whole table."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pressledger.llm import mixing
+from pressledger.llm import langid, mixing, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -14,4 +14,14 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {"op3_mixing": op3_mixing}
+def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return topk.top_inner_products(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return langid.identify_languages(docs, langid.fit(docs))
+
+
+QUERIES = {"op2_exact_topk": op2_exact_topk, "op3_mixing": op3_mixing, "op10_language_id": op10_language_id}
