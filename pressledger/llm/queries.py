@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pressledger.llm import langid, mixing, topk
+from pressledger.llm import langid, mixing, neardup, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,9 +19,13 @@ def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_inner_products(vectors, vectors.where(F.col("vec_id") % 50 == 0))
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return langid.identify_languages(docs, langid.fit(docs))
 
 
-QUERIES = {"op2_exact_topk": op2_exact_topk, "op3_mixing": op3_mixing, "op10_language_id": op10_language_id}
+QUERIES = {"op2_exact_topk": op2_exact_topk, "op3_mixing": op3_mixing, "op8_near_duplicates": op8_near_duplicates, "op10_language_id": op10_language_id}
