@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pressledger.llm import langid, mixing, neardup, topk
+from pressledger.llm import langid, mixing, neardup, packing, tokencount, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,21 @@ def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_inner_products(vectors, vectors.where(F.col("vec_id") % 50 == 0))
 
 
+def _vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack_documents(_table(spark, sf_dir, "documents"), _vocabulary())
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.count_tokens(_table(spark, sf_dir, "documents"), _vocabulary())
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -28,4 +43,4 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_languages(docs, langid.fit(docs))
 
 
-QUERIES = {"op2_exact_topk": op2_exact_topk, "op3_mixing": op3_mixing, "op8_near_duplicates": op8_near_duplicates, "op10_language_id": op10_language_id}
+QUERIES = {"op2_exact_topk": op2_exact_topk, "op3_mixing": op3_mixing, "op5_packing": op5_packing, "op7_token_counts": op7_token_counts, "op8_near_duplicates": op8_near_duplicates, "op10_language_id": op10_language_id}
