@@ -1,8 +1,8 @@
 """Registered queries of this subpackage: each applies one operator to its whole table."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pressledger.llm import langid, mixing, neardup, packing, tokencount, topk
+from pressledger.llm import langid, mixing, neardup, packing, secrets, tokencount, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,20 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def _of_kind(kind: str) -> Column:
+    return F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_secrets(_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda x: x["kind"] != "random")
+    counts = [_of_kind(k).alias(f"n_{k}") for k in ("assign", "access", "hex")]
+    return found.select(
+        "doc_id", *counts, F.sha2(secrets.span_text(base).cast("binary"), 256).alias("base_sha256"),
+        secrets.span_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(_table(spark, sf_dir, "documents"), _vocabulary())
 
@@ -43,4 +57,4 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_languages(docs, langid.fit(docs))
 
 
-QUERIES = {"op2_exact_topk": op2_exact_topk, "op3_mixing": op3_mixing, "op5_packing": op5_packing, "op7_token_counts": op7_token_counts, "op8_near_duplicates": op8_near_duplicates, "op10_language_id": op10_language_id}
+QUERIES = {"op2_exact_topk": op2_exact_topk, "op3_mixing": op3_mixing, "op5_packing": op5_packing, "op6_secrets": op6_secrets, "op7_token_counts": op7_token_counts, "op8_near_duplicates": op8_near_duplicates, "op10_language_id": op10_language_id}
