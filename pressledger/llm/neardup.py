@@ -5,11 +5,12 @@ the count of leading zeros (6 bits) and 10 mantissa bits. Empty buckets of short
 one from a fixed starting place. Texts of one set are first folded into a class. 32 bands of four
 registers propose classes to compare: at a similarity of 0.85 a pair is missed with probability
 (1 - 0.85^4)^32 < 1e-10. Inside a band's bucket, equal registers, corrected for chance collisions, estimate
-the similarity; only pairs four standard errors below the limit or better are verified on their full sets.
+the similarity; only pairs at most four standard errors below the limit are verified on their full sets.
 
-A bucket never emits all its pairs. The first round proposes each class's best partners only, so it is linear;
+A bucket never emits all its pairs. The first round proposes each class's two best partners only, so it is linear;
 once the links found there are contracted, the second round compares only classes of one bucket that lie in
-different components, and a pair is proposed in its first common band only. Buckets beyond
+different components, by finer sketches (1,024 buckets, a byte each, nothing borrowed), whose estimate is nearly the
+similarity itself for texts of up to some hundred words. A pair is proposed in its first common band only. Buckets beyond
 ``BLOCK`` classes are compared block by block, so no task holds a whole one. Classes that are already
 connected need no further links, so the components are those of the full link graph.
 
@@ -37,6 +38,7 @@ BLOCK = 2048
 NEIGHBOURS = 128
 #: Ids sent to every task at most; beyond, a shuffle join.
 BROADCAST_IDS = 1_000_000
+FINE = 1024
 _EMPTY = np.uint16(0xFFFF)
 _MULT = mix64(np.arange(1, WORDS + 1)) | np.uint64(1)
 _START = (mix64(np.arange(REGISTERS) + 77) % np.uint64(REGISTERS)).astype(np.int64)
@@ -109,6 +111,36 @@ def estimate(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right: n
     return (equal.mean(axis=1) - chance) / (1 - chance), np.where(bands.any(axis=1), bands.argmax(axis=1), BANDS)
 
 
+def fine_sketches(rows: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
+    """n x 1,024 bytes: of each bucket's smallest hash its lowest bits, 0 for an empty bucket."""
+    out = np.zeros((n, FINE), dtype=np.uint8)
+    if len(hashes):
+        cell = rows * FINE + (hashes >> np.uint64(54)).astype(np.int64)
+        first = np.concatenate(([True], cell[1:] != cell[:-1]))
+        out.reshape(-1)[cell[first]] = (1 + hashes[first] % np.uint64(255)).astype(np.uint8)
+    return out
+
+
+def near_enough(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right: np.ndarray, limit: float) -> np.ndarray:
+    """Whether finer sketches leave it open that the similarity reaches the limit, at four standard errors."""
+    full_left, full_right = left != 0, right != 0
+    union = np.maximum((full_left | full_right).sum(axis=1), 1)
+    chance = 1 / 255
+    est = (((left == right) & full_left).sum(axis=1) / union - chance) / (1 - chance)
+    # Shingles that no bucket kept are what an estimate can err by; chance collisions add a little.
+    kept = (full_left.sum(axis=1) + full_right.sum(axis=1)) / np.maximum(n_left + n_right, 1)
+    error = np.sqrt(limit * (1 - limit) * np.maximum(1 - kept, 0) / union + chance / union)
+    return est >= limit - 4 * error - 1 / union
+
+
+def _fine_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        data, offsets = utf8(batch.column(1))
+        for i, j in row_chunks(offsets):
+            found = fine_sketches(*shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]), j - i)
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array([r.tobytes() for r in found], pa.binary())], names=["cid", "fine"])
+
+
 def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = utf8(batch.column(1))
@@ -202,7 +234,7 @@ _PAIRS = "a long, b long, est double"
 
 
 def _proposer(limit: float, best: int | None):
-    """Pairs of a sorted stream of bucket rows: each row's best partners, or all over the limit."""
+    """Pairs of a sorted stream of bucket rows: each row's best partners, or all that may reach the limit."""
 
     def pairs_of(size: int, side: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         if best is not None and size > NEIGHBOURS:
@@ -223,6 +255,7 @@ def _proposer(limit: float, best: int | None):
             cid, comp, n = (table.column(x).to_numpy() for x in ("cid", "comp", "n_shingles"))
             band, block, lo, hi = (table.column(x).to_numpy() for x in ("band", "block", "lo", "hi"))
             regs = _registers(table.column("sketch"))
+            fine = np.frombuffer(b"".join(table.column("fine").to_pylist()), dtype=np.uint8).reshape(-1, FINE) if best is None else None
             todo = []
             sizes = np.diff(cuts)
             # Small groups of one size are compared together.
@@ -247,8 +280,14 @@ def _proposer(limit: float, best: int | None):
                     xs, ys = x[at : at + (1 << 16)], y[at : at + (1 << 16)]
                     est, first = estimate(regs[xs], regs[ys], n[xs], n[ys])
                     margin = 4 * np.sqrt(limit * (1 - limit) / REGISTERS)
-                    good = (est >= limit - margin) & ((first == band[xs]) | (best is not None))
-                    found.append((xs[good], ys[good], est[good]))
+                    good = (est >= limit - margin) & (first == band[xs])
+                    xs, ys, est = xs[good], ys[good], est[good]
+                    if best is None:
+                        good = np.concatenate([np.zeros(0, dtype=bool)] + [
+                            near_enough(fine[xs[k : k + 4096]], fine[ys[k : k + 4096]], n[xs[k : k + 4096]], n[ys[k : k + 4096]], limit) for k in range(0, len(xs), 4096)
+                        ])
+                        xs, ys, est = xs[good], ys[good], est[good]
+                    found.append((xs, ys, est))
             if not found:
                 continue
             x, y, est = (np.concatenate(v) for v in zip(*found, strict=True))
@@ -267,17 +306,20 @@ def _proposer(limit: float, best: int | None):
 
 
 def propose_pairs(buckets: DataFrame, classes: DataFrame, labels: DataFrame, limit: float, best: int | None) -> DataFrame:
-    """Distinct pairs of classes of different components that share a bucket and look similar enough."""
-    rows = buckets.join(classes.join(labels, "cid"), "cid")
-    mixed = rows.groupBy("key").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"), F.max("block").alias("_blocks"))
+    """Distinct pairs of classes of different components that share a bucket and look similar enough.
+
+    classes: cid, n_shingles, sketch, and for the round without ``best`` also the finer sketch, fine.
+    """
+    named = buckets.join(labels, "cid")
+    mixed = named.groupBy("key").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"), F.max("block").alias("_blocks"))
     mixed = mixed.where(F.col("_lo") != F.col("_hi")).select("key", "_blocks")
-    rows = rows.join(mixed, "key")
+    rows = named.join(mixed, "key").join(classes, "cid")
     if best is None:
         rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks"))))
         rows = rows.withColumns({"lo": F.least("block", "_other"), "hi": F.greatest("block", "_other")})
     else:
         rows = rows.withColumns({"lo": F.col("block"), "hi": F.col("block")})
-    rows = rows.select("key", "lo", "hi", "cid", "comp", "n_shingles", "band", "block", "sketch")
+    rows = rows.select("key", "lo", "hi", "cid", "comp", "n_shingles", "band", "block", "sketch", *(["fine"] if best is None else []))
     dealt = rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
     pairs = dealt.mapInArrow(_proposer(limit, best), _PAIRS).groupBy("a", "b").agg(F.max("est").alias("est"))
     if best is not None:
@@ -372,8 +414,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     if near.count() <= BROADCAST_IDS:
         near = F.broadcast(near)
     texts = checkpointed(rows.withColumnRenamed("doc_id", "cid").join(near, "cid", "left_semi"))
+    fine = checkpointed(texts.mapInArrow(_fine_rows, "cid long, fine binary"))
     for best in (2, None):
-        pairs = checkpointed(propose_pairs(buckets, sized, labels, limit, best))
+        known = sized if best else sized.join(fine, "cid")
+        pairs = checkpointed(propose_pairs(buckets, known, labels, limit, best))
         labels = contracted(labels, checkpointed(verified(pairs, texts, percent)))
 
     named = members.join(labels, "cid").groupBy("doc_id").agg(F.min("comp").alias("component_id"))
