@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pressledger.llm import langid, mixing, neardup, packing, secrets, tokencount, topk
+from pressledger.llm import langid, mixing, neardup, packing, secrets, tokencount, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -14,6 +14,11 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score_toxicity(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings")
     return topk.top_inner_products(vectors, vectors.where(F.col("vec_id") % 50 == 0))
@@ -57,4 +62,4 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_languages(docs, langid.fit(docs))
 
 
-QUERIES = {"op2_exact_topk": op2_exact_topk, "op3_mixing": op3_mixing, "op5_packing": op5_packing, "op6_secrets": op6_secrets, "op7_token_counts": op7_token_counts, "op8_near_duplicates": op8_near_duplicates, "op10_language_id": op10_language_id}
+QUERIES = {"op1_toxicity": op1_toxicity, "op2_exact_topk": op2_exact_topk, "op3_mixing": op3_mixing, "op5_packing": op5_packing, "op6_secrets": op6_secrets, "op7_token_counts": op7_token_counts, "op8_near_duplicates": op8_near_duplicates, "op10_language_id": op10_language_id}

@@ -28,8 +28,8 @@ from pressledger.llm.common import _LOWER, checkpointed, is_held_out, mix64, pie
 from pressledger.llm.neardup import shingle_sets
 
 POSITIVES, NEGATIVES = 8_192, 16_384
-#: Mined features kept, the least number of toxic sample rows that have one, and its least log-odds.
-LEXICON, LEAST_ROWS, LEAST_ODDS = 4_096, 4, 2.5
+#: Mined features kept; the least number and share of toxic sample rows that have one; its least log-odds.
+LEXICON, LEAST_ROWS, LEAST_SHARE, LEAST_ODDS = 4_096, 4, 0.01, 3.0
 THRESHOLD = 0.3
 #: Insults in common use.
 INSULTS = (
@@ -285,7 +285,7 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negative
         return _default()
     odds = F.log((F.col("yes") + 0.5) / (yes + 1)) - F.log((F.col("no") + 0.5) / (no + 1))
     mined = sample.mapInArrow(_mined, "feature long, yes int, no int").groupBy("feature").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
-    mined = mined.where(F.col("yes") >= LEAST_ROWS).withColumn("odds", odds).where(F.col("odds") >= LEAST_ODDS)
+    mined = mined.where(F.col("yes") >= max(LEAST_ROWS, LEAST_SHARE * yes)).withColumn("odds", odds).where(F.col("odds") >= LEAST_ODDS)
     best = mined.orderBy(F.desc(F.col("odds") * F.sqrt("yes")), "feature").limit(LEXICON).collect()
     hashes = np.array([r["feature"] for r in best], dtype=np.int64).view(np.uint64)
     order = np.argsort(hashes)
