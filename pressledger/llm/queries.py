@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pressledger.llm import langid, mixing, neardup, packing, secrets, tokencount, topk, toxicity
+from pressledger.llm import langid, mixing, neardup, packing, quality, secrets, tokencount, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,12 @@ def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_inner_products(vectors, vectors.where(F.col("vec_id") % 50 == 0))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.rate_quality(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 def _vocabulary() -> str:
     import public_tokenizers
 
@@ -62,4 +68,4 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_languages(docs, langid.fit(docs))
 
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op2_exact_topk": op2_exact_topk, "op3_mixing": op3_mixing, "op5_packing": op5_packing, "op6_secrets": op6_secrets, "op7_token_counts": op7_token_counts, "op8_near_duplicates": op8_near_duplicates, "op10_language_id": op10_language_id}
+QUERIES = {"op1_toxicity": op1_toxicity, "op2_exact_topk": op2_exact_topk, "op3_mixing": op3_mixing, "op4_quality": op4_quality, "op5_packing": op5_packing, "op6_secrets": op6_secrets, "op7_token_counts": op7_token_counts, "op8_near_duplicates": op8_near_duplicates, "op10_language_id": op10_language_id}
