@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pressledger.llm import langid, mixing, neardup, packing, quality, secrets, tokencount, topk, toxicity
+from pressledger.llm import langid, mixing, neardup, packing, pii, quality, secrets, tokencount, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,9 +63,19 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda x: x["kind"].isin(*pii.BASE))
+    return found.select(
+        "doc_id", *(_of_kind(k).alias(f"n_{k}") for k in pii.BASE),
+        F.sha2(secrets.span_text(base).cast("binary"), 256).alias("base_sha256"), secrets.span_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return langid.identify_languages(docs, langid.fit(docs))
 
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op2_exact_topk": op2_exact_topk, "op3_mixing": op3_mixing, "op4_quality": op4_quality, "op5_packing": op5_packing, "op6_secrets": op6_secrets, "op7_token_counts": op7_token_counts, "op8_near_duplicates": op8_near_duplicates, "op10_language_id": op10_language_id}
+QUERIES = {"op1_toxicity": op1_toxicity, "op2_exact_topk": op2_exact_topk, "op3_mixing": op3_mixing, "op4_quality": op4_quality, "op5_packing": op5_packing, "op6_secrets": op6_secrets, "op7_token_counts": op7_token_counts, "op8_near_duplicates": op8_near_duplicates, "op9_personal_data": op9_personal_data,
+    "op10_language_id": op10_language_id}
