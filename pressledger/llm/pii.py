@@ -110,7 +110,7 @@ def judged(spans: DataFrame) -> DataFrame:
         .otherwise(False)
     )
     word = F.regexp_extract("lead", r"([a-z-]+)[^a-z0-9]*$", 1)
-    ending = F.lower(F.regexp_extract("span", r"([A-Za-z]+)$", 1))
+    ending = F.lower(F.regexp_extract(F.right("span", F.lit(24)), r"([A-Za-z]+)$", 1))
     address = kind.isin("email", "address")
     issuer = F.col("digits").rlike("^(?:4|5[1-5]|2[2-7]|3[47]|6(?:011|5))")
     either = lambda yes, no: F.when(yes, 1).when(no, -1).otherwise(0)
