@@ -310,10 +310,11 @@ def propose_pairs(buckets: DataFrame, classes: DataFrame, labels: DataFrame, lim
 
     classes: cid, n_shingles, sketch, and for the round without ``best`` also the finer sketch, fine.
     """
-    named = buckets.join(labels, "cid")
-    mixed = named.groupBy("key").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"), F.max("block").alias("_blocks"))
-    mixed = mixed.where(F.col("_lo") != F.col("_hi")).select("key", "_blocks")
-    rows = named.join(mixed, "key").join(classes, "cid")
+    whole = Window.partitionBy("key")
+    named = buckets.join(_small(labels), "cid").repartition("key").withColumns({
+        "_lo": F.min("comp").over(whole), "_hi": F.max("comp").over(whole), "_blocks": F.max("block").over(whole)
+    })
+    rows = named.where(F.col("_lo") != F.col("_hi")).drop("_lo", "_hi").join(classes, "cid")
     if best is None:
         rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks"))))
         rows = rows.withColumns({"lo": F.least("block", "_other"), "hi": F.greatest("block", "_other")})
@@ -365,30 +366,41 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(_links(percent), "a long, b long").distinct()
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """A checkpointed table of ids: sent to every task if it has few rows, else left to a shuffle join."""
+    return F.broadcast(df) if df.count() <= BROADCAST_IDS else df
+
+
 def contracted(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Labels after joining the components that the links connect, each under its smallest label.
 
-    Every component hooks onto its smallest neighbour, chains are halved until all point at a root, and links
-    inside a component vanish; components at least halve per round, apart from local minima.
+    Every component hooks onto its smallest neighbour and chains are halved until all point at a root; links are then
+    taken over to the roots, and those inside a component vanish. Each round leaves fewer components with links.
     """
-    links = links.select(F.col("a").alias("u"), F.col("b").alias("v"))
-    while True:
-        here = labels.select(F.col("cid").alias("u"), F.col("comp").alias("cu"))
-        there = labels.select(F.col("cid").alias("v"), F.col("comp").alias("cv"))
-        between = links.join(here, "u").join(there, "v").where(F.col("cu") != F.col("cv")).select("cu", "cv").distinct()
-        between = checkpointed(between)
-        if between.isEmpty():
-            return labels
-        both = between.union(between.select("cv", "cu"))
-        root = checkpointed(both.groupBy(F.col("cu").alias("c")).agg(F.min("cv").alias("m")).select("c", F.least("c", "m").alias("root")))
+    named = _small(labels)
+    here, there = (named.select(F.col("cid").alias(x), F.col("comp").alias(y)) for x, y in (("a", "u"), ("b", "v")))
+    edges = links.join(here, "a").join(there, "b").where(F.col("u") != F.col("v")).select("u", "v").distinct()
+    edges, moves = checkpointed(edges), None
+    while not edges.isEmpty():
+        both = edges.union(edges.select("v", "u"))
+        root = checkpointed(both.groupBy(F.col("u").alias("c")).agg(F.min("v").alias("m")).select("c", F.least("c", "m").alias("root")))
         while True:
-            up = root.select(F.col("c").alias("root"), F.col("root").alias("higher"))
-            jumped = checkpointed(root.join(up, "root", "left").select("c", F.coalesce("higher", "root").alias("root"), (F.col("higher") < F.col("root")).alias("moved")))
-            root = jumped.select("c", "root")
+            up = _small(root).select(F.col("c").alias("root"), F.col("root").alias("higher"))
+            jumped = checkpointed(root.join(up, "root").select("c", F.col("higher").alias("to"), (F.col("higher") < F.col("root")).alias("moved")))
+            root = jumped.select("c", F.col("to").alias("root"))
             if jumped.where("moved").isEmpty():
                 break
-        renamed = labels.join(root.withColumnRenamed("c", "comp"), "comp", "left")
-        labels = checkpointed(renamed.select("cid", F.coalesce("root", "comp").alias("comp")))
+        ends = _small(root)
+        if moves is None:
+            moves = root
+        else:
+            moves = checkpointed(moves.join(ends.select(F.col("c").alias("root"), F.col("root").alias("to")), "root", "left").select("c", F.coalesce("to", "root").alias("root")))
+        here, there = (ends.select(F.col("c").alias(x), F.col("root").alias(y)) for x, y in (("u", "p"), ("v", "q")))
+        edges = checkpointed(edges.join(here, "u").join(there, "v").where(F.col("p") != F.col("q")).select(F.col("p").alias("u"), F.col("q").alias("v")).distinct())
+    if moves is None:
+        return labels
+    renamed = labels.join(_small(moves).withColumnRenamed("c", "comp"), "comp", "left")
+    return checkpointed(renamed.select("cid", F.coalesce("root", "comp").alias("comp")))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
@@ -404,15 +416,13 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
 
     repeats = members.groupBy("doc_id").agg(F.min("cid").alias("a"), F.max("cid").alias("_hi")).where(F.col("a") != F.col("_hi"))
     same = members.join(repeats.drop("_hi"), "doc_id").where(F.col("a") != F.col("cid")).select("a", F.col("cid").alias("b"))
-    labels = contracted(labels, checkpointed(same.distinct()))
+    labels = contracted(labels, checkpointed(same))
 
     banded = classes.select("cid", "sketch").mapInArrow(_band_keys, "key long, cid long, band int")
     buckets = banded.repartition("key").sortWithinPartitions("key", "cid").mapInArrow(_shared, "key long, cid long, band int, block int")
     buckets = checkpointed(buckets)
     sized = classes.select("cid", "n_shingles", "sketch")
-    near = checkpointed(buckets.select("cid").distinct())
-    if near.count() <= BROADCAST_IDS:
-        near = F.broadcast(near)
+    near = _small(checkpointed(buckets.select("cid").distinct()))
     texts = checkpointed(rows.withColumnRenamed("doc_id", "cid").join(near, "cid", "left_semi"))
     fine = checkpointed(texts.mapInArrow(_fine_rows, "cid long, fine binary"))
     for best in (2, None):
@@ -420,7 +430,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         pairs = checkpointed(propose_pairs(buckets, known, labels, limit, best))
         labels = contracted(labels, checkpointed(verified(pairs, texts, percent)))
 
-    named = members.join(labels, "cid").groupBy("doc_id").agg(F.min("comp").alias("component_id"))
+    named = members.join(_small(labels), "cid").groupBy("doc_id").agg(F.min("comp").alias("component_id"))
     out = own.select("doc_id", "n_shingles").join(named, "doc_id", "left")
     out = out.withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
