@@ -25,15 +25,24 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
     return spark
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage through the shared checkpoint folder, so a lost executor costs one re-read.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    The cluster names the folder in ``spark.checkpoint.dir``; only where it names none
-    (a local test session) is a fresh local folder used.
+    Where it is unset, a local session gets a fresh temporary folder; a cluster has no such place, so that is an error.
     """
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pressledger-checkpoint-"))
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pressledger-checkpoint-"))
+    return spark.sparkContext.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut lineage through the shared folder, so a lost executor costs one re-read."""
+    if not df.sparkSession.sparkContext.getCheckpointDir():
+        df.sparkSession.sparkContext.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 

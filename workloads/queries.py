@@ -1,7 +1,6 @@
 """Registered queries: each reads whole test tables and returns one DataFrame."""
 
 import datetime as dt
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -22,7 +21,7 @@ from pressledger.operators.quality import quality_issues
 from pressledger.plans import model
 from pressledger.plans.run import run
 from pressledger.schemas import ARTICLE_COLUMNS
-from pressledger.session import checkpointed
+from pressledger.session import checkpointed, shared_folder
 from pressledger.sources.published import read_current
 from workloads import testdata as td
 
@@ -336,9 +335,8 @@ def q_input_fingerprint(spark, sf):
 
 
 def _run_folder(spark: SparkSession) -> str:
-    """A fresh folder in the cluster's shared area; local only where the session names none."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared}/press-{uuid.uuid4()}" if shared else tempfile.mkdtemp(prefix="press-")
+    """A fresh folder in the shared area."""
+    return f"{shared_folder(spark)}/press-{uuid.uuid4()}"
 
 
 def q_publish_roundtrip(spark, sf):
