@@ -86,13 +86,12 @@ def budget_thresholds(keyed: DataFrame, budgets: DataFrame) -> DataFrame:
     return open_.select("source", (F.col("_prefix") + nearer).alias("_threshold"))
 
 
-def mix_sources(
-    docs: DataFrame, share: float = 1.5, weights: tuple[int, ...] = (5, 2, 1), most: float = 2.0
-) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken, one row per input row; see the module's contract."""
-    keyed = checkpointed(docs.select(
-        "doc_id", "source", word_count(F.col("text")).alias("size"), mix_key(F.col("doc_id"), F.col("text")).alias("_key")
-    ))
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), mix_key(F.col("doc_id"), F.col("text")).alias("_key"))
+
+
+def mix_plan(keyed: DataFrame, share: float, weights: tuple[int, ...], most: float) -> DataFrame:
+    """One row per source: source_size, target, whole copies of each of its documents, and the threshold for one more."""
     targets = checkpointed(source_targets(
         keyed.groupBy("source").agg(F.sum("size").alias("source_size")), share, weights, most
     ))
@@ -101,9 +100,27 @@ def mix_sources(
     ).otherwise(F.col("target")).alias("_budget"))
     plan = _same_source(targets, budget_thresholds(keyed, budgets), "left")
     plan = plan.withColumn("_copies", (F.col("target") > F.col("source_size")).cast("long"))
-    if targets.count() <= BROADCAST_SOURCES:
-        plan = F.broadcast(plan)
-    extra = F.when(F.col("_threshold").isNull() | (F.col("_key") < F.col("_threshold")), 1).otherwise(0)
-    return _same_source(keyed, plan, "left").select(
-        "doc_id", "source", "size", "source_size", "target", (F.col("size") * (F.col("_copies") + extra)).cast("long").alias("taken")
+    return F.broadcast(plan) if targets.count() <= BROADCAST_SOURCES else plan
+
+
+def _times(key: Column) -> Column:
+    """How often the mix takes a document."""
+    return F.col("_copies") + F.when(F.col("_threshold").isNull() | (key < F.col("_threshold")), 1).otherwise(0)
+
+
+def mix_sources(
+    docs: DataFrame, share: float = 1.5, weights: tuple[int, ...] = (5, 2, 1), most: float = 2.0
+) -> DataFrame:
+    """doc_id, source, size, source_size, target, taken, one row per input row; see the module's contract."""
+    keyed = checkpointed(_keyed(docs))
+    return _same_source(keyed, mix_plan(keyed, share, weights, most), "left").select(
+        "doc_id", "source", "size", "source_size", "target", (F.col("size") * _times(F.col("_key"))).cast("long").alias("taken")
     )
+
+
+def take_mix(docs: DataFrame, share: float = 1.5, weights: tuple[int, ...] = (5, 2, 1), most: float = 2.0) -> DataFrame:
+    """Every row as often as the mix takes it, with all its columns."""
+    plan = mix_plan(checkpointed(_keyed(docs)), share, weights, most)
+    rows = docs.select(F.struct("*").alias("_row"), "source", mix_key(F.col("doc_id"), F.col("text")).alias("_key"))
+    taken = _same_source(rows, plan, "left").select("_row", F.explode(F.array_repeat(F.lit(0), _times(F.col("_key")).cast("int"))))
+    return taken.select("_row.*")

@@ -7,6 +7,13 @@ from array import array
 ODD_BLANK = re.compile(r" (?![!-~¡-ᙿᚁ-៿])")
 
 
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """Path of a public vocabulary file, on the driver as on executors."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def _kept() -> dict:
     """What a worker keeps from task to task. Functions are shipped by value, with globals of their own for each task, so
     it hangs on the library's module."""

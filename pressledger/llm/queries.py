@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pressledger.llm import langid, mixing, neardup, packing, pii, quality, secrets, tokencount, topk, toxicity
+from pressledger.llm.pretokens import vocabulary
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,14 +31,8 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _vocabulary() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_50k.json")
-
-
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = packing.pack_documents(_table(spark, sf_dir, "documents"), _vocabulary())
+    packed = packing.pack_documents(_table(spark, sf_dir, "documents"), vocabulary())
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
@@ -56,7 +51,7 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokencount.count_tokens(_table(spark, sf_dir, "documents"), _vocabulary())
+    return tokencount.count_tokens(_table(spark, sf_dir, "documents"), vocabulary())
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

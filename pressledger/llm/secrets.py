@@ -21,6 +21,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -123,6 +124,9 @@ def scan_text(text: str) -> tuple[list[tuple[int, int, str]], list[tuple[int, in
     return base, candidates, null
 
 
+_SCANNED = "doc_id long, base array<struct<start:int,end:int,kind:string>>, found array<struct<start:int,end:int,cell:int>>, words array<int>"
+
+
 def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())]))
     cand = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("cell", pa.int32())]))
@@ -157,15 +161,18 @@ def discoveries(candidates: dict[int, int], null: dict[int, int], share: float =
     return out
 
 
+def _lowest(counts: list, share: float) -> dict[int, int]:
+    """From rows of cell, candidate, count: classes x bins x 2 at most."""
+    return discoveries(*({r["cell"]: r["count"] for r in counts if r["candidate"] is kind} for kind in (True, False)), share)
+
+
 def scan_secrets(docs: DataFrame, share: float = FALSE_SHARE) -> DataFrame:
     """doc_id, spans for every input row; see the module's contract."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    schema = "doc_id long, base array<struct<start:int,end:int,kind:string>>, found array<struct<start:int,end:int,cell:int>>, words array<int>"
-    seen = checkpointed(rows.mapInArrow(_scanned, schema))
+    seen = checkpointed(rows.mapInArrow(_scanned, _SCANNED))
     found = seen.select(F.explode("found.cell").alias("cell"), F.lit(True).alias("candidate"))
     words = seen.select(F.explode("words").alias("cell"), F.lit(False).alias("candidate"))
-    counts = found.union(words).groupBy("cell", "candidate").count().collect()  # classes x bins x 2 at most
-    lowest = discoveries(*({r["cell"]: r["count"] for r in counts if r["candidate"] is kind} for kind in (True, False)), share)
+    lowest = _lowest(found.union(words).groupBy("cell", "candidate").count().collect(), share)
 
     def accepted(x: Column) -> Column:
         out = F.lit(False)
@@ -185,12 +192,37 @@ def span_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
-def redacted(text: Column, spans: Column) -> Column:
-    """The text with every span replaced by [kind]; overlapping spans are replaced as one, named by the first."""
-    empty = F.struct(F.lit("").alias("out"), F.lit(0).alias("upto"))
-    step = lambda a, s: F.struct(
-        F.when(s["start"] < a["upto"], a["out"]).otherwise(F.concat(a["out"], F.substring(text, a["upto"] + 1, s["start"] - a["upto"]), F.lit("["), s["kind"], F.lit("]"))).alias("out"),
-        F.greatest(a["upto"], s["end"]).alias("upto"),
-    )
-    joined = F.aggregate(spans, empty, step, lambda a: F.concat(a["out"], F.substring(text, a["upto"] + 1, F.lit(2**31 - 1))))
-    return F.when(F.size(spans) > 0, joined).otherwise(text)
+def lowest_bins(docs: DataFrame, share: float = FALSE_SHARE) -> dict[int, int]:
+    """The lowest accepted bin of each length class, from all documents; gathers counts by class and bin only."""
+    seen = docs.select(F.lit(None).cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_scanned, _SCANNED)
+    cells = seen.select(F.explode(F.concat(
+        F.transform("found", lambda x: F.struct(x["cell"].alias("cell"), F.lit(True).alias("candidate"))),
+        F.transform("words", lambda x: F.struct(x.alias("cell"), F.lit(False).alias("candidate"))),
+    )).alias("c"))
+    return _lowest(cells.groupBy("c.cell", "c.candidate").count().collect(), share)
+
+
+def redact_text(text: str | None, lowest: dict[int, int]) -> str | None:
+    """The text with every secret replaced by its kind in brackets; overlapping ones by the kind that starts first."""
+    if not text:
+        return text
+    base, found, _ = scan_text(text)
+    spans = sorted([*base, *((s, e, "random") for s, e, own, b in found if own in lowest and b >= lowest[own])], key=lambda x: (x[0], KINDS.index(x[2])))
+    out, upto = [], 0
+    for start, end, kind in spans:
+        if start >= upto:
+            out += (text[upto:start], f"[{kind}]")
+        upto = max(upto, end)
+    return "".join((*out, text[upto:]))
+
+
+def redact_secrets(docs: DataFrame, share: float = FALSE_SHARE) -> DataFrame:
+    """All rows and columns; secrets in ``text`` are replaced, and ``n_chars``, where there is one, is counted anew."""
+    lowest = lowest_bins(docs, share)
+
+    @F.pandas_udf("string")
+    def redact(texts: pd.Series) -> pd.Series:
+        return pd.Series([redact_text(t if isinstance(t, str) else None, lowest) for t in texts], dtype=object)
+
+    new = docs.withColumn("text", redact(F.col("text").cast("string")))
+    return new.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else new

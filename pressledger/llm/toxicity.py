@@ -21,6 +21,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -312,3 +313,15 @@ def score_toxicity(docs: DataFrame, model: Model, threshold: float = THRESHOLD)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), is_held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(scored, "doc_id long, held_out boolean, score double, predicted int")
+
+
+def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows whose score stays below the threshold, with all their columns."""
+
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        data, offsets = utf8(pa.array(texts, pa.string(), from_pandas=True))
+        parts = [model.score(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]) for i, j in row_chunks(offsets)]
+        return pd.Series(np.concatenate(parts) if parts else np.zeros(0))
+
+    return docs.where(score(F.col("text").cast("string")) < threshold)
