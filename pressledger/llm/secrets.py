@@ -145,17 +145,20 @@ def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def discoveries(candidates: dict[int, int], null: dict[int, int], share: float = FALSE_SHARE) -> dict[int, int]:
     """The lowest bin accepted per length class; classes without discoveries are left out.
 
-    The p-value of a bin is (1 + null at or above) / (1 + null of the class); step-up: the lowest bin whose p-value is
-    at most share x candidates at or above / candidates.
+    The p-value of a bin is (1 + null at or above) / (1 + null); step-up: the lowest bin whose p-value is at most
+    share x candidates at or above / candidates. Long words are rare and fit a uniform alphabet less the longer they
+    are, so the null of a class holds that of the shorter ones too, which errs on the safe side.
     """
     out = {}
+    pooled = [0] * BINS
     for own in range(len(CLASSES)):
         cells = range(own * BINS, (own + 1) * BINS)
-        total, words = sum(candidates.get(c, 0) for c in cells), sum(null.get(c, 0) for c in cells)
+        pooled = [n + null.get(c, 0) for n, c in zip(pooled, cells, strict=True)]
+        total, words = sum(candidates.get(c, 0) for c in cells), sum(pooled)
         above = words_above = 0
         for b in range(BINS - 1, 0, -1):
             above += candidates.get(own * BINS + b, 0)
-            words_above += null.get(own * BINS + b, 0)
+            words_above += pooled[b]
             if above and (1 + words_above) / (1 + words) <= share * above / total:
                 out[own] = b
     return out
