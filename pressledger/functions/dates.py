@@ -16,7 +16,7 @@ REASON_INVALID = "unsupported or invalid date"
 REASON_AMBIGUOUS = "ambiguous numeric date interpreted as MM/DD/YYYY"
 
 _Y, _M, _D = r"([0-9]{4})", r"([0-9]{1,2})", r"([0-9]{1,2}| [1-9])"
-_CLOCK = r"T(?:[01]?[0-9]|2[0-3]):[0-5]?[0-9]:[0-5]?[0-9]Z"
+_CLOCK = r"[Tt](?:[01]?[0-9]|2[0-3]):[0-5]?[0-9]:[0-5]?[0-9][Zz]"
 _FULL = "(" + "|".join(rules.MONTH_NAMES) + ")"
 _SHORT = "(" + "|".join(m[:3] for m in rules.MONTH_NAMES) + ")"
 

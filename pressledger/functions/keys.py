@@ -60,7 +60,8 @@ def _escaped_char(ch: Column) -> Column:
     )
 
 
-_PLAIN = r"^[ !#-\[\]-~]*$"
+# \z and not $, which also matches before a final line break.
+_PLAIN = r"^[ !#-\[\]-~]*\z"
 
 
 def _json_string(c: Column) -> Column:

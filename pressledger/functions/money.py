@@ -30,8 +30,7 @@ _AMOUNT = (
 _NOT_WORD_BEFORE = r"(?<![\p{L}\p{N}_])"
 _NOT_WORD_AFTER = r"(?![\p{L}\p{N}_])"
 
-# 17 integer digits and 9 decimals per endpoint; every product below stays within 38 digits.
-_NUMBER = "decimal(26,9)"
+# Bounds are exact to 9 decimals after scaling; a total that could fit a bigint in any currency has 23 integer digits.
 _TOTAL = "decimal(32,9)"
 _BOUND = "decimal(38,9)"
 
@@ -62,9 +61,17 @@ def _scale(text: Column, digits: Column) -> Column:
     return F.when((digits != "") & (rest != ""), rest)
 
 
-def _multiplier(scale: Column) -> Column:
-    pairs = [F.lit(x) for word, factor in rules.SCALE_WORDS.items() for x in (word, Decimal(factor))]
-    return F.coalesce(F.element_at(F.create_map(*pairs), scale), F.lit(Decimal(1))).cast("decimal(10,0)")
+def _scaled(digits: Column, scale: Column) -> Column:
+    """The amount with its scale word applied, by moving the decimal point in the text; no digit is lost before that."""
+    pairs = [F.lit(x) for word, factor in rules.SCALE_WORDS.items() for x in (word, len(str(factor)) - 1)]
+    places = F.coalesce(F.element_at(F.create_map(*pairs), scale), F.lit(0))
+    plain = F.translate(digits, "+-", "")
+    whole = F.substring_index(plain, ".", 1)
+    part = F.when(plain.contains("."), F.substring_index(plain, ".", -1)).otherwise("")
+    row = F.concat(whole, F.rpad(part, F.greatest(places, F.length(part)), F.lit("0")))
+    point = F.length(whole) + places
+    text = F.concat(F.substr(row, F.lit(1), point), F.lit("."), F.substr(row, point + 1), F.lit("0"))
+    return F.when(digits != "", text.try_cast(_BOUND))
 
 
 def to_usd(total_of_bounds: Column, currency: Column) -> Column:
@@ -108,18 +115,18 @@ def parse_arr(df: DataFrame, column: str = "revenue_raw") -> DataFrame:
         })
         .withColumns({f"_arr_digits_{end}": F.regexp_extract(f"_arr_{end}", _AMOUNT, 1) for end in "ab"})
         .withColumns({
-            f"_arr_n{i}": F.col(f"_arr_digits_{end}").try_cast(_NUMBER) for i, end in enumerate("ab")
+            # For its sign only.
+            f"_arr_n{i}": F.col(f"_arr_digits_{end}").try_cast("double") for i, end in enumerate("ab")
         } | {
             f"_arr_s{i}": _scale(F.col(f"_arr_{end}"), F.col(f"_arr_digits_{end}")) for i, end in enumerate("ab")
         })
         .withColumns({
-            "_arr_lo": F.col("_arr_n0") * _multiplier(F.coalesce("_arr_s0", "_arr_s1")),
+            "_arr_lo": _scaled(F.col("_arr_digits_a"), F.coalesce("_arr_s0", "_arr_s1")),
             "_arr_hi": F.when(
-                F.col("_arr_ends") == 2,
-                F.col("_arr_n1") * _multiplier(F.coalesce("_arr_s1", "_arr_s0")),
-            ).otherwise(F.col("_arr_n0") * _multiplier(F.col("_arr_s0"))),
+                F.col("_arr_ends") == 2, _scaled(F.col("_arr_digits_b"), F.coalesce("_arr_s1", "_arr_s0"))
+            ).otherwise(_scaled(F.col("_arr_digits_a"), F.col("_arr_s0"))),
         })
-        .withColumn("_arr_usd", to_usd(F.col("_arr_lo") + F.col("_arr_hi"), F.col("_arr_currency")))
+        .withColumn("_arr_usd", to_usd(F.col("_arr_lo").try_cast(_TOTAL) + F.col("_arr_hi").try_cast(_TOTAL), F.col("_arr_currency")))
     )
 
     marker, ends = F.col("_arr_marker"), F.col("_arr_ends")

@@ -2,9 +2,8 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-HOT_KEYS = 256
-HOT_MIN_ROWS = 100_000
-SALTS = 64
+#: Rows of one key in one partition; a key with more is spread over as many partitions as it takes.
+TARGET_ROWS = 100_000
 BROADCAST_MAX_ROWS = 100_000
 
 
@@ -15,24 +14,18 @@ def lookup_join(
     row_id: Column,
     counts: DataFrame,
     lookup_rows: int | None = None,
-    hot_min_rows: int = HOT_MIN_ROWS,
+    target_rows: int = TARGET_ROWS,
 ) -> DataFrame:
     """``rows`` left-joined to ``lookup``, which holds at most one row per ``key``.
 
-    A lookup counted by the caller and found small is broadcast. Otherwise this is a shuffled
-    join: ``counts`` (key, n) gives the keys with the most rows, at most ``HOT_KEYS`` of them,
-    and those keys are spread over ``SALTS`` partitions. A key outside that list holds less than
-    1/``HOT_KEYS`` of all rows or fewer than ``hot_min_rows``.
+    A lookup counted by the caller and found small is broadcast. Otherwise this is a shuffled join, and every key
+    with more than ``target_rows`` rows, by ``counts`` (key, n), is spread over n / ``target_rows`` partitions.
+    Such keys are at most one in ``target_rows`` rows, so their list is small enough for every task.
     """
     if lookup_rows is not None and lookup_rows <= BROADCAST_MAX_ROWS:
         return rows.join(F.broadcast(lookup), key, "left")
 
-    hot = (
-        counts.filter(F.col("n") >= hot_min_rows)
-        .orderBy(F.desc("n"), key)
-        .limit(HOT_KEYS)
-        .select(key, F.lit(SALTS).alias("_salts"))
-    )
+    hot = counts.filter(F.col("n") > target_rows).select(key, F.ceil(F.col("n") / target_rows).cast("int").alias("_salts"))
     salted = (
         rows.join(F.broadcast(hot), key, "left")
         .withColumn(

@@ -24,7 +24,7 @@ def normalize_name(c: Column) -> Column:
 
     Spark has no compatibility fold, so non-ASCII names (only those) visit a pandas UDF.
     """
-    ascii_only = c.rlike(r"^[\x00-\x7f]*$")
+    ascii_only = c.rlike(r"^[\x00-\x7f]*\z")
     folded = F.when(ascii_only, F.lower(c)).otherwise(_compatibility_fold(F.when(~ascii_only, c)))
     return F.trim(F.regexp_replace(folded, "[^a-z0-9]+", " "))
 

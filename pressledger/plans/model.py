@@ -26,10 +26,11 @@ RESOLUTION = [
 
 
 def prepare_articles(raw: DataFrame) -> DataFrame:
-    """Known columns only, with lineage, record hash and the names the facts use."""
+    """Known columns only, with lineage, record hash and the names the facts use. A missing company name is a blank one."""
     return (
         raw.select(*ARTICLE_COLUMNS, "source_row_number", "source_file")
         .withColumn("source_record_hash", record_hash(*[F.col(c) for c in ARTICLE_COLUMNS]))
+        .withColumn("company_name", F.coalesce("company_name", F.lit("")))
         .withColumnsRenamed(RAW_RENAMES)
     )
 

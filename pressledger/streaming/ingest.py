@@ -12,12 +12,14 @@ from pressledger.schemas import ARTICLE_COLUMNS, ARTICLES_RAW, RAW_RENAMES
 
 
 def stream_csv(spark: SparkSession, folder: str, files_per_trigger: int = 1000) -> DataFrame:
-    """Raw articles of new files in a folder; columns in the contract's order, all text."""
+    """Raw articles of new files in a folder; all text. A file with another header or a row that doesn't fit ends the stream."""
     raw = (
         spark.readStream.schema(ARTICLES_RAW)
         .option("header", True)
         .option("multiLine", True)
         .option("escape", '"')
+        .option("enforceSchema", False)
+        .option("mode", "FAILFAST")
         .option("maxFilesPerTrigger", files_per_trigger)
         .csv(folder)
     )

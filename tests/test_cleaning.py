@@ -155,3 +155,16 @@ def test_texts(spark):
     text = article_text(F.lit("  Title\n"), F.lit(None).cast("string"))
     both = article_text(F.lit("Title "), F.lit("\tBody "))
     assert list(one(spark, text, both, clean_optional(F.lit(" 　 ")))) == ["Title", "Title\n\nBody", None]
+
+
+def test_amounts_keep_every_digit(spark):
+    rows = [("\u20ac0.0000000014B", 2, "1.400000000"), ("\u00a5123456789012345678", 823045260082305, "123456789012345678.000000000"), ("$0.0000015M", 2, "1.500000000"), ("$1.23456789012B", 1234567890, "1234567890.120000000")]
+    got = parse_arr(spark.createDataFrame([(r[0],) for r in rows], "revenue_raw string")).collect()
+    assert [(r.revenue_raw, r.arr_usd, str(r.lower_bound_source)) for r in got] == rows
+    huge = parse_arr(spark.createDataFrame([("$99999999999999999999",)], "revenue_raw string")).first()
+    assert huge.arr_parse_status == "INVALID_FORMAT" and huge.arr_parse_reason == "amount exceeds the supported range"
+
+
+def test_lower_case_timestamp_marks(spark):
+    got = parse_published_date(spark.createDataFrame([("2023-05-12t00:00:00z",)], "published_date_raw string")).first()
+    assert str(got.published_date) == "2023-05-12"

@@ -38,3 +38,11 @@ def test_record_hash_equals_json_and_sha256(spark):
         hashlib.sha256(json.dumps(list(r), separators=(",", ":")).encode()).hexdigest() for r in records
     ]
     assert got == want
+
+
+def test_record_hash_of_trailing_line_breaks(spark):
+    values = ["abc\n", "a\r\n", "a\u2028", "a\x85", "plain", 'q"\\', "\u00e9\U0001f600"]
+    rows = spark.createDataFrame([(v,) for v in values], "v string").select("v", record_hash(F.col("v"), F.lit(None).cast("string")).alias("h")).collect()
+    for r in rows:
+        text = json.dumps([r.v, None], separators=(",", ":"))
+        assert r.h == hashlib.sha256(text.encode()).hexdigest()

@@ -130,7 +130,7 @@ def test_hot_key_is_salted_and_rows_stay_whole(spark):
     rows = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id"))).alias("key"))
     counts = rows.groupBy("key").agg(F.count("*").alias("n"))
     lookup = rows.filter("id % 7 <> 1").select("key").distinct().withColumn("value", F.length("key"))
-    joined = lookup_join(rows, lookup, "key", F.col("id"), counts, hot_min_rows=500)
+    joined = lookup_join(rows, lookup, "key", F.col("id"), counts, target_rows=500)
     plain = rows.join(lookup, "key", "left")
     assert sorted(map(tuple, joined.select("id", "key", "value").collect())) == sorted(map(tuple, plain.select("id", "key", "value").collect()))
     small = lookup_join(rows, lookup, "key", F.col("id"), counts, lookup_rows=10)

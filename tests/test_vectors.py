@@ -37,7 +37,7 @@ def test_neighbours_equal_brute_force_with_copies_zeros_and_clusters(spark, seed
     copies = np.repeat(rows[:1], 60, axis=0)  # a third of all rows
     matrix = np.vstack([rows, copies, np.zeros((3, 8)), rows[5:8]])
     matrix = matrix[rng.permutation(len(matrix))]
-    ids, got = lists_of(spark, matrix, block_rows=8, max_pivots=4, hot_min_rows=20)
+    ids, got = lists_of(spark, matrix, block_rows=8, max_pivots=4, target_rows=20)
     assert got == brute_force(ids, matrix, 3)
 
 
