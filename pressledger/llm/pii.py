@@ -1,7 +1,7 @@
 """Personal data by weak supervision, with DataFrame functions only.
 
 Patterns propose spans: the four base kinds (email, ip, card, phone), and looser ones (numbers of seven to nineteen
-digits in groups; written-out addresses such as "name (at) host (dot) net"). Labelers vote on each: strict pattern,
+digits in usual formats; written-out addresses such as "name (at) host (dot) net"). Labelers vote on each: strict pattern,
 digit count, grouping, gazetteers (address endings, card issuers, country codes), words before it, and signs against it
 (part of a longer token, words such as "version" or "isbn"). How often each pattern of votes occurs, over all documents, is a small
 table; expectation-maximisation on it estimates every labeler's reliability without labels, and a logistic classifier is
@@ -30,7 +30,14 @@ PATTERNS = {
     "ip": r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "number": r"(?<![0-9])[0-9](?:[\x20().-]{0,2}[0-9])++",
+    # Telephone formats, runs and fours of card digits, three-two-four numbers; each also next to other numbers, where
+    # the greedy base patterns take both for one and fail.
+    "number": (
+        r"(?<![0-9])(?:\+?[0-9]{1,3}[\x20.-])?(?:\([0-9]{2,4}\)|[0-9]{2,4})[\x20.-][0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9])"
+        r"|(?<![0-9])[0-9]{13,19}(?![0-9])|(?<![0-9])(?:[0-9]{4}[\x20-]){3}[0-9]{4}(?![0-9])|(?<![0-9])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9])"
+        r"|(?<![0-9])\+[0-9]{8,15}(?![0-9])"
+        r"|(?<![0-9])\+[0-9]{1,3}\x20?\([0-9]{2,4}\)\x20?[0-9]{3,4}[\x20.-]?[0-9]{3,4}(?![0-9])"
+    ),
     "address": rf"(?<!{_LOCAL}){_LOCAL}++\x20?[(\[]at[)\]]\x20?[A-Za-z0-9-]++(?:\x20?(?:\.|[(\[]dot[)\]])\x20?[A-Za-z0-9-]++)++",
 }
 BASE = KINDS[:4]
@@ -97,7 +104,7 @@ def _part_of_ip(part: Column) -> Column:
 
 
 def judged(spans: DataFrame) -> DataFrame:
-    """Add digits, valid (the base rule of the kind), and a vote per labeler: 1 for, -1 against, 0 abstains."""
+    """Add valid (the base rule of the kind), open (a looser span to decide on), and a vote per labeler: 1 for, -1 against, 0 abstains."""
     digits = F.regexp_replace("span", "[^0-9]", "")
     spans = spans.select(*spans.columns, F.inline(F.array(F.struct(digits.alias("digits"), F.split("span", r"\.").alias("parts"), F.lower("before").alias("lead")))))
     n = F.length("digits")
@@ -114,8 +121,10 @@ def judged(spans: DataFrame) -> DataFrame:
     address = kind.isin("email", "address")
     issuer = F.col("digits").rlike("^(?:4|5[1-5]|2[2-7]|3[47]|6(?:011|5))")
     either = lambda yes, no: F.when(yes, 1).when(no, -1).otherwise(0)
+    luhn = F.when(n.between(13, 19), _luhn(F.col("digits"))).otherwise(F.lit(False))
+    written = F.col("span").rlike(r"^\+") & n.between(8, 15)
     votes = {
-        "strict": either(valid, ~address & ~valid & (kind != "number")),
+        "strict": either(valid | ((kind == "number") & (luhn | written)), ~address & ~valid & ((kind != "number") | (n >= 13))),
         "digits": F.when(address, 0).otherwise(either(n.isin(10, 11, 12, 16), (n < 9) & (kind == "number"))),
         "grouping": F.when(address, 0).otherwise(either(F.col("span").rlike(r"[0-9][\x20).-]{1,2}[0-9]{3,4}[\x20.-][0-9]{4}|[0-9]{3}-[0-9]{2}-[0-9]{4}$"), F.col("span").rlike(r"[(][^)]*$|[.][0-9]{1,2}$") & (kind == "number"))),
         "gazetteer": F.when(address, either(ending.isin(*ENDINGS), F.length(ending) < 2)).when(kind == "ip", either(~F.col("span").rlike("^0*0[.]"), F.lit(False))).otherwise(
@@ -125,7 +134,9 @@ def judged(spans: DataFrame) -> DataFrame:
         "joined": F.when(F.col("after").rlike("[A-Za-z0-9_]") | F.col("before").rlike("[A-Za-z0-9_=/#.-]$"), -1).otherwise(0),
         "against": F.when(word.isin(*AGAINST), -1).otherwise(0),
     }
-    return spans.select("row", "doc_id", "kind", "start", "end", "digits", F.inline(F.array(F.struct(valid.alias("valid"), *(v.alias(f"v_{k}") for k, v in votes.items())))))
+    # Thirteen digits or more are a card's or nothing; what a word like "page" announces is nothing.
+    open_ = ~word.isin(*AGAINST) & ((kind == "address") | ((kind == "number") & (n.between(7, 12) | luhn | written)))
+    return spans.select("row", "doc_id", "kind", "start", "end", F.inline(F.array(F.struct(valid.alias("valid"), open_.alias("open"), *(v.alias(f"v_{k}") for k, v in votes.items())))))
 
 
 def reliabilities(patterns: dict[tuple[int, ...], int], rounds: int = ROUNDS) -> tuple[dict[tuple[int, ...], float], list[list[list[float]]]]:
@@ -176,7 +187,7 @@ def find_personal_data(docs: DataFrame, accept: float = ACCEPT) -> DataFrame:
             score = score + weights[1 + i] * (F.col(f"v_{k}") > 0).cast("int") + weights[1 + len(LABELERS) + i] * (F.col(f"v_{k}") < 0).cast("int")
     # What a looser span must not touch: base spans, and looser ones that start before it.
     loose = F.coalesce(~F.col("kind").isin(*BASE), F.lit(False))
-    chosen = F.col("valid") | (loose & (score >= math.log(accept / (1 - accept))) & (F.length("digits").between(7, 19) | (F.col("kind") == "address")))
+    chosen = F.col("valid") | (F.col("open") & (score >= math.log(accept / (1 - accept))))
     # A rejected span leaves its row behind, so that its document stays.
     taken = F.coalesce(F.col("kind").isNotNull() & chosen, F.lit(False))
     spans = spans.select("row", "doc_id", loose.alias("loose"), *(F.when(taken, F.col(c)).alias(c) for c in ("kind", "start", "end")))

@@ -346,6 +346,14 @@ def test_personal_data_base_spans(spark, odd, empty):
     assert not re.search("Python|Pandas|Arrow", result._jdf.queryExecution().executedPlan().toString())
 
 
+def test_personal_data_beside_other_numbers(spark):
+    rows = [(i, f"mail a{i}@b.example, card 4111 1111 1111 1111 and +1 (555) 010-00{i % 10}{i // 10} or 10.0.0.{i}") for i in range(60)]
+    rows += [(100, "call +1 (269) 555-3296 4111111111111111 now"), (101, "order 4111111111111112 of page 123 456 7890")]
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[100] == [("number", 5, 22), ("number", 23, 39)] and got[101] == []
+    assert all([k for k, *_ in got[i]] == ["email", "ip", "card", "phone"] for i in range(60))
+
+
 def test_reliabilities_tell_good_labelers_from_bad():
     rng = random.Random(2)
     counts = collections.Counter()
