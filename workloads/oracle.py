@@ -306,6 +306,9 @@ ORACLE = {
     "record_hash": _WITH + """SELECT article_id, sha256(replace(replace(replace(CAST(to_json([article_id, 'Report ' || ok,
         company_name_raw, published_date_raw, category_raw, revenue_raw, o_orderpriority, 'https://news.example/' || article_id,
         o_orderstatus, word_count_raw]) AS VARCHAR), '€', '\\u20ac'), '£', '\\u00a3'), '¥', '\\u00a5')) AS source_record_hash FROM t""",
+    "csv_articles": _WITH + """SELECT article_id, sha256(replace(replace(replace(CAST(to_json([article_id, 'Report ' || ok || chr(10) || '"q", ',
+        company_name_raw, published_date_raw, category_raw, revenue_raw, o_orderpriority, 'https://news.example/' || article_id,
+        o_orderstatus, word_count_raw]) AS VARCHAR), '€', '\\u20ac'), '£', '\\u00a3'), '¥', '\\u00a5')) AS source_record_hash FROM t""",
     "resolve_company": _WITH + f"""SELECT company_name_raw, count(*) AS n, {_COMPANY} AS company_id, company_name_canonical,
         coalesce(company_name_canonical, company_name_clean) AS company_entity_name, company_match_status,
         company_match_method, company_match_confidence, in_master AS has_company_metadata FROM t GROUP BY ALL""",

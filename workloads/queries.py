@@ -22,6 +22,7 @@ from pressledger.plans import model
 from pressledger.plans.run import run
 from pressledger.schemas import ARTICLE_COLUMNS
 from pressledger.session import checkpointed, shared_folder
+from pressledger.sources.articles import read_csv
 from pressledger.sources.published import read_current
 from workloads import testdata as td
 
@@ -105,6 +106,17 @@ def q_record_hash(spark, sf):
     )
 
 
+def q_csv_articles(spark, sf):
+    """Record hashes after a round trip through CSV files of two column orders, with quotes and line breaks in titles."""
+    base = _run_folder(spark)
+    rows = td.orders_articles(spark, sf).withColumn("title", F.concat("title", F.lit('\n"q", ')))
+    for half, columns in enumerate((ARTICLE_COLUMNS, ARTICLE_COLUMNS[::-1])):
+        part = rows.where(F.pmod(F.xxhash64("article_id"), F.lit(2)) == half).select(*columns).write.option("header", True).option("escape", '"')
+        part.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{base}/{half}")
+    back = read_csv(spark, f"{base}/*")
+    return back.select("article_id", record_hash(*[F.col(c) for c in ARTICLE_COLUMNS]).alias("source_record_hash"))
+
+
 # --- identity ---
 
 def _prepared(spark, sf):
