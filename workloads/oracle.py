@@ -383,6 +383,22 @@ SELECT CAST(s AS VARCHAR) AS source_article_id, CAST(m AS VARCHAR) AS similar_ar
         UNION ALL SELECT 'arr_company_exists', count(*) FROM a WHERE company_id NOT IN (SELECT company_id FROM dim)
         UNION ALL SELECT 'arr_usd_positive', count(*) FROM a WHERE arr_usd <= 0
         UNION ALL SELECT 'source_rows_contiguous', CAST(max(ok) - min(ok) + 1 <> count(*) OR min(ok) <> 0 AS BIGINT) FROM t""",
+    "validation_violations": """
+        WITH o AS (SELECT o_orderkey AS k, o_custkey AS c FROM orders), n AS (SELECT count(*) + count(*) FILTER (k % 1000 = 1) AS articles,
+          sum(CASE WHEN k % 50 = 0 THEN 2 ELSE 3 END) AS links FROM o)
+        SELECT 'dim_company_id_unique' AS check_name, count(*) AS violations FROM customer WHERE c_custkey % 100 = 1
+        UNION ALL SELECT 'fact_article_id_unique', count(*) FROM o WHERE k % 1000 = 1
+        UNION ALL SELECT 'arr_observation_id_unique', count(*) FROM o WHERE k % 300 = 0
+        UNION ALL SELECT 'arr_article_exists', count(*) FROM o WHERE k % 21 = 0
+        UNION ALL SELECT 'arr_company_exists', count(DISTINCT k % 10) FROM o WHERE k % 33 = 0
+        UNION ALL SELECT 'arr_usd_positive', count(*) + count(*) FILTER (k % 300 = 0) FROM o WHERE k % 15 = 0
+        UNION ALL SELECT 'source_rows_contiguous', 1
+        UNION ALL SELECT 'bridge_row_count', CAST(abs(links - articles * 3) AS BIGINT) FROM n
+        UNION ALL SELECT 'article_has_vector', count(*) FROM o WHERE k % 90 = 0
+        UNION ALL SELECT 'vector_has_article', count(*) FROM o WHERE k % 400 = 2
+        UNION ALL SELECT 'vector_article_id_unique', count(*) FROM o WHERE k % 700 = 5 AND k % 90 <> 0
+        UNION ALL SELECT 'vector_shape_and_finite', count(*) + count(*) FILTER (k % 700 = 5) FROM o
+          WHERE k % 60 IN (7, 8) AND k % 90 <> 0""",
     "input_fingerprint": "SELECT count(*) AS row_count, 1 AS same FROM orders",
     "publish_roundtrip": f"""{_WITH}, {_DIM_ROWS}, {_ISSUE_ROWS}
         SELECT 'dim_company' AS table_name, count(*) AS row_count FROM dim

@@ -337,6 +337,29 @@ def q_validation_report(spark, sf):
     return validate.validation_report(tables)
 
 
+def q_validation_violations(spark, sf):
+    """Every check on tables made from orders and customers with known faults."""
+    orders = td.table(spark, sf, "orders").selectExpr("o_orderkey AS k", "o_custkey AS c")
+    customers = td.table(spark, sf, "customer").selectExpr("c_custkey AS c")
+    again = lambda df, where: df.unionByName(df.where(where))
+    vectors = again(orders.where("k % 90 <> 0"), "k % 700 = 5").selectExpr(
+        "string(k) AS article_id",
+        "CASE WHEN k % 60 = 7 THEN array(1f) WHEN k % 60 = 8 THEN array(1f, float('NaN')) ELSE array(1f, 2f) END AS embedding",
+    )
+    stray = orders.where("k % 400 = 2").selectExpr("concat('y', k) AS article_id", "array(1f, 2f) AS embedding")
+    tables = {
+        "dim_company": again(customers, "c % 100 = 1").selectExpr("string(c) AS company_id"),
+        "fact_article": again(orders, "k % 1000 = 1").selectExpr("string(k) AS article_id", "k + 2 AS source_row_number"),
+        "fact_arr_observation": again(orders.where("k % 3 = 0"), "k % 300 = 0").selectExpr(
+            "concat('o', k) AS arr_observation_id", "if(k % 7 = 0, concat('x', k), string(k)) AS article_id",
+            "if(k % 11 = 0, concat('none', k % 10), string(c)) AS company_id", "k % 5 AS arr_usd",
+        ),
+        "bridge_article_similarity": orders.selectExpr("explode(sequence(1, if(k % 50 = 0, 2, 3))) AS similarity_rank"),
+        "article_embedding": vectors.unionByName(stray),
+    }
+    return validate.validation_report(tables, dimension=2)
+
+
 def q_input_fingerprint(spark, sf):
     """The same rows in another order and partitioning keep their fingerprint."""
     raw = td.orders_articles(spark, sf).select(*ARTICLE_COLUMNS)
