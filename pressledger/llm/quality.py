@@ -27,7 +27,8 @@ CHAR_LIMIT, WORD_LIMIT, WORD_SCATTER = 0.28, 0.16, 0.8
 COUNTS = ["doc_id", "n_chars", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
 #: Symbols of the base rule.
 SYMBOLS = "[#*$%&|<>]"
-CLASSES = {"lower": "[a-z]", "upper": "[A-Z]", "digit": "[0-9]", "other": r"[^\x00-\x7F]"}
+#: Character classes counted; what is left of a text, chiefly a to z, is one more.
+CLASSES = {"mark": r"[!\x22'()+,./:;=?@\[\\\]^_`{}~-]", "upper": "[A-Z]", "digit": "[0-9]", "other": r"[^\x00-\x7F]"}
 
 
 def _once(df: DataFrame, keep: list[str], **columns: Column) -> DataFrame:
@@ -65,8 +66,8 @@ def measures(docs: DataFrame, common: dict[str, list[str]]) -> DataFrame:
         F.sequence(F.lit(0), F.size("words") - 3),
         lambda i: F.xxhash64(F.get("words", i), F.get("words", i + 1), F.get("words", i + 2)),
     )).otherwise(F.array().cast("array<bigint>"))
-    every = sorted({w for own in common.values() for w in own})
-    known = F.filter("words", lambda w: F.lower(w).isin(every)) if every else F.array().cast("array<string>")
+    every = sorted({x for own in common.values() for w in own for x in (w, w.capitalize(), w.upper())})
+    known = F.filter("words", lambda w: w.isin(every)) if every else F.array().cast("array<string>")
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(WORD))
     rows = _once(
         rows, ["doc_id", "lang"], n_words=F.size("words").cast("long"), windows=windows, known=F.transform(known, F.lower), lines=lines,
