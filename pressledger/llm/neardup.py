@@ -4,16 +4,21 @@ A text is its set of distinct 5-word shingles. A sketch has 128 buckets; a bucke
 the count of leading zeros (6 bits) and 10 mantissa bits. Empty buckets of short texts borrow the next full
 one from a fixed starting place. Texts of one set are first folded into a class. 32 bands of four
 registers propose classes to compare: at a similarity of 0.85 a pair is missed with probability
-(1 - 0.85^4)^32 < 1e-10. Inside a band's bucket, equal registers, corrected for chance collisions, estimate
-the similarity; only pairs at most four standard errors below the limit are verified on their full sets.
+(1 - 0.85^4)^32 < 1e-10 if all buckets are full. Inside a band's bucket, equal registers, corrected for chance collisions,
+estimate the similarity; only pairs at most four standard errors below the limit are verified on their full sets.
 
 A bucket never emits all its pairs. The first round proposes each class's two best partners only, so it is linear;
 once the links found there are contracted, the second round compares only classes of one bucket that lie in
 different components, by finer sketches (1,024 buckets, a byte each, nothing borrowed), whose estimate is nearly the
-similarity itself for texts of up to some hundred words. A pair is proposed in its first common band only. Buckets beyond
+similarity itself for texts of up to some hundred words. A pair of larger classes is proposed in its first common band only. Buckets beyond
 ``BLOCK`` classes are compared block by block, so no task holds a whole one. Classes that are already
 connected need no further links, so the components are those of the full link graph.
 
+Sketches say little about short texts, which fill few buckets. Classes of at most ``EXACT`` shingles meet each other
+without them: of its shingles, ordered by how many such classes have them, the rarest first, a class of n needs only the first
+n - ceil(limit n) + 1 as bucket keys, for two sets at the limit have one of these in common (prefix filter). Of their
+pairs the second round leaves out only those whose finer sketches prove them below the limit.
+
 Contract. ``near_duplicates`` returns ``doc_id, n_shingles, component_id, kept`` per input row. Fewer than five
 words are one shingle; without words, or with a null text, a row is linked with nothing. A row without id
 is linked with nothing, has a null component and is kept. Rows that repeat an id are one document. Ties cannot
@@ -39,6 +44,8 @@ NEIGHBOURS = 128
 #: Ids sent to every task at most; beyond, a shuffle join.
 BROADCAST_IDS = 1_000_000
 FINE = 1024
+#: Classes of at most so many shingles find each other by rare shingles, not by sketches.
+EXACT = 80
 _EMPTY = np.uint16(0xFFFF)
 _MULT = mix64(np.arange(1, WORDS + 1)) | np.uint64(1)
 _START = (mix64(np.arange(REGISTERS) + 77) % np.uint64(REGISTERS)).astype(np.int64)
@@ -111,6 +118,17 @@ def estimate(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right: n
     return (equal.mean(axis=1) - chance) / (1 - chance), np.where(bands.any(axis=1), bands.argmax(axis=1), BANDS)
 
 
+def margin(n: np.ndarray, limit: float) -> np.ndarray:
+    """Four standard errors of the estimate, if the smaller set has n shingles.
+
+    Only filled buckets are independent. Each speaks for itself and for the empty ones that borrow from it, a number that
+    scatters like the gaps between random places.
+    """
+    full = -REGISTERS * np.expm1(np.maximum(n, 1) * np.log1p(-1 / REGISTERS))
+    lent = (REGISTERS - full) / full
+    return 4 * np.sqrt(limit * (1 - limit) * full * (lent + lent**2 + (1 + lent) ** 2)) / REGISTERS
+
+
 def fine_sketches(rows: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
     """n x 1,024 bytes: of each bucket's smallest hash its lowest bits, 0 for an empty bucket."""
     out = np.zeros((n, FINE), dtype=np.uint8)
@@ -122,15 +140,19 @@ def fine_sketches(rows: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
 
 
 def near_enough(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right: np.ndarray, limit: float) -> np.ndarray:
-    """Whether finer sketches leave it open that the similarity reaches the limit, at four standard errors."""
+    """Whether finer sketches leave it open that the similarity reaches the limit: for small sets surely, else at four standard errors."""
     full_left, full_right = left != 0, right != 0
     union = np.maximum((full_left | full_right).sum(axis=1), 1)
     chance = 1 / 255
-    est = (((left == right) & full_left).sum(axis=1) / union - chance) / (1 - chance)
+    equal = ((left == right) & full_left).sum(axis=1)
+    est = (equal / union - chance) / (1 - chance)
     # Shingles that no bucket kept are what an estimate can err by; chance collisions add a little.
     kept = (full_left.sum(axis=1) + full_right.sum(axis=1)) / np.maximum(n_left + n_right, 1)
     error = np.sqrt(limit * (1 - limit) * np.maximum(1 - kept, 0) / union + chance / union)
-    return est >= limit - 4 * error - 1 / union
+    # A common shingle makes its bucket equal unless another one displaced it there.
+    most = equal + np.maximum(n_left - full_left.sum(axis=1), 0) + np.maximum(n_right - full_right.sum(axis=1), 0)
+    open_ = most >= limit * (n_left + n_right - most) - 1e-6
+    return np.where(np.maximum(n_left, n_right) <= EXACT, open_, est >= limit - 4 * error - 1 / union)
 
 
 def _fine_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,12 +177,39 @@ def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 keys.append(pa.array((sums[ends] - sums[ends - n]).view(np.int64), pa.int64()))
             raw = regs.tobytes()
             size = 2 * REGISTERS
+            small = [hashes[e - k : e].tobytes() if 0 < k <= EXACT else None for k, e in zip(n.tolist(), ends.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(i, j - i), pa.array(n, pa.int64()), *keys, pa.array([raw[k * size : (k + 1) * size] for k in range(j - i)], pa.binary())],
-                names=["doc_id", "n_shingles", "k1", "k2", "sketch"],
+                [
+                    batch.column(0).slice(i, j - i), pa.array(n, pa.int64()), *keys,
+                    pa.array([raw[k * size : (k + 1) * size] for k in range(j - i)], pa.binary()), pa.array(small, pa.binary()),
+                ],
+                names=["doc_id", "n_shingles", "k1", "k2", "sketch", "small"],
             )
 
 
+def _small_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if not len(batch):
+            continue
+        n = batch.column(2).to_numpy(zero_copy_only=False)
+        own = [pa.array(np.repeat(batch.column(i).to_numpy(zero_copy_only=False), n), pa.int64()) for i in range(3)]
+        hashes = np.frombuffer(b"".join(batch.column(3).to_pylist()), dtype=np.int64)
+        yield pa.RecordBatch.from_arrays([*own, pa.array(hashes)], names=["cid", "k1", "n_shingles", "key"])
+
+
+def rare_keys(classes: DataFrame, percent: int) -> DataFrame:
+    """key, cid, band (BANDS): the rare shingles of small classes; two classes at the limit have one in common."""
+    own = ["cid", "k1", "n_shingles"]
+    held = classes.where(F.col("small").isNotNull()).select(*own, "small").mapInArrow(_small_sets, "cid long, k1 long, n_shingles long, key long")
+    # Stored by itself, so that the join below can split a common shingle's rows.
+    shared = checkpointed(held.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1))
+    ordered = held.join(shared, "key").groupBy(*own).agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("found"))
+    # Shingles of one class only come first in the order, and find nothing.
+    prefix = F.col("n_shingles") - F.floor((percent * F.col("n_shingles") + 99) / 100) + 1
+    left = F.greatest(prefix - (F.col("n_shingles") - F.size("found")), F.lit(0)).cast("int")
+    return ordered.select(F.explode(F.slice("found", 1, left)["key"]).alias("key"), "cid", F.lit(BANDS).alias("band"))
+
+
 def _registers(column) -> np.ndarray:
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint16).reshape(-1, REGISTERS)
@@ -279,8 +328,8 @@ def _proposer(limit: float, best: int | None):
                 for at in range(0, len(x), 1 << 16):
                     xs, ys = x[at : at + (1 << 16)], y[at : at + (1 << 16)]
                     est, first = estimate(regs[xs], regs[ys], n[xs], n[ys])
-                    margin = 4 * np.sqrt(limit * (1 - limit) / REGISTERS)
-                    good = (est >= limit - margin) & (first == band[xs])
+                    small = np.maximum(n[xs], n[ys]) <= EXACT
+                    good = np.where(small, band[xs] == BANDS, (est >= limit - margin(np.minimum(n[xs], n[ys]), limit)) & (first == band[xs]))
                     xs, ys, est = xs[good], ys[good], est[good]
                     if best is None:
                         good = np.concatenate([np.zeros(0, dtype=bool)] + [
@@ -407,10 +456,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every input row; see the module's contract."""
     limit = percent / 100
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    own = checkpointed(rows.mapInArrow(_sketch_rows, "doc_id long, n_shingles long, k1 long, k2 long, sketch binary"))
+    own = checkpointed(rows.mapInArrow(_sketch_rows, "doc_id long, n_shingles long, k1 long, k2 long, sketch binary, small binary"))
     keys = ["k1", "k2", "n_shingles"]
     linked = own.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-    classes = checkpointed(linked.groupBy(*keys).agg(F.min("doc_id").alias("cid"), F.min("sketch").alias("sketch")))
+    classes = checkpointed(linked.groupBy(*keys).agg(F.min("doc_id").alias("cid"), F.min("sketch").alias("sketch"), F.min("small").alias("small")))
     members = checkpointed(linked.select("doc_id", *keys).join(classes.select(*keys, "cid"), keys).select("doc_id", "cid"))
     labels = checkpointed(classes.select("cid", F.col("cid").alias("comp")).distinct())
 
@@ -418,7 +467,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     same = members.join(repeats.drop("_hi"), "doc_id").where(F.col("a") != F.col("cid")).select("a", F.col("cid").alias("b"))
     labels = contracted(labels, checkpointed(same))
 
-    banded = classes.select("cid", "sketch").mapInArrow(_band_keys, "key long, cid long, band int")
+    # Classes too small to be near one beyond EXACT have no bands.
+    wide = classes.where(100 * F.col("n_shingles") >= percent * (EXACT + 1))
+    banded = wide.select("cid", "sketch").mapInArrow(_band_keys, "key long, cid long, band int").union(rare_keys(classes, percent))
     buckets = banded.repartition("key").sortWithinPartitions("key", "cid").mapInArrow(_shared, "key long, cid long, band int, block int")
     buckets = checkpointed(buckets)
     sized = classes.select("cid", "n_shingles", "sketch")

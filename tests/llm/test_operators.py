@@ -308,6 +308,26 @@ def test_near_duplicates_of_nothing(spark, empty):
     assert neardup.near_duplicates(empty).count() == 0
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_short_near_duplicates_at_the_limit(spark, percent):
+    """Pairs of 4 to 100 shingles, cut at one or both ends until they just reach the limit; and a line common to many."""
+    rng = random.Random(percent)
+    line = " ".join("line%d" % i for i in range(9))
+    rows = []
+    for pair in range(600):
+        common = 4 + pair % 97
+        spare = common * 100 // percent - common
+        words = ["w%d" % rng.randrange(10**9) for _ in range(common + spare + 4)]
+        left = rng.randrange(spare + 1)
+        a, b = words[: len(words) - left], words[spare - left :]
+        tail = " " + line if pair % 3 == 0 else ""
+        rows += [(2 * pair, " ".join(a) + tail, "en", "a", 1), (2 * pair + 1, " ".join(b) + tail, "en", "a", 1)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(spark.createDataFrame(rows, SCHEMA), percent).collect()}
+    want = brute_components([(r[0], r[1]) for r in rows], percent)
+    assert sum(i != c for i, (_, c) in want.items()) > 300
+    assert got == want
+
+
 def test_buckets_cut_into_blocks(spark, odd, monkeypatch):
     monkeypatch.setattr(neardup, "BLOCK", 4)
     want = brute_components(texts_of(odd), 85)
