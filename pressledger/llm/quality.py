@@ -4,7 +4,8 @@ Each language of the corpus gets two references: its histogram over character cl
 common short words, by rank. A document's histograms are compared to every language's by Jensen-Shannon distance
 (base 2, 0 to 1); it fails if, for the language that fits best, characters or words lie too far away. Short texts scatter
 more, so each comparison has a least length below which it says nothing. References are sums over all documents
-that pass the base rules; the common words are counted over all documents.
+that pass the base rules; the common words are counted over all documents. Every language has its references; beyond
+``GROUP`` of them each further group is one more pass over the common words, not the texts, and the best fit is carried on.
 
 Contract. ``rate_quality`` returns per input row ``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 base_failed, kept`` and the distances ``char_distance, word_distance`` (null where the guard holds). A null text is empty: all counts 0,
@@ -17,10 +18,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pressledger.llm.common import BLANK, WORD, checkpointed
 
-#: Common words per language, by rank: up to these ranks per bin; at most so many characters, so many languages.
+#: Common words per language, by rank: up to these ranks per bin; at most so many characters; languages compared in one pass.
 BINS = (2, 6, 14, 30)
 SHORT = 4
-LANGUAGES = 32
+GROUP = 32
 #: Least lengths: characters for the class histogram, words for the common-word histogram.
 LEAST_CHARS, LEAST_WORDS = 200, 50
 CHAR_LIMIT, WORD_LIMIT, WORD_SCATTER = 0.28, 0.16, 0.8
@@ -45,21 +46,28 @@ def _count(text: Column, pattern: str) -> Column:
 
 
 def common_words(docs: DataFrame) -> dict[str, list[str]]:
-    """The most common short words of each of the most frequent languages, most common first."""
+    """The most common short words of each language, most common first."""
     short = F.filter(words_of(F.lower("text")), lambda w: F.length(w) <= SHORT)
     counts = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("lang", F.explode(short).alias("word"))
     counts = checkpointed(counts.groupBy("lang", "word").agg(F.count("*").alias("n")))
-    langs = counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).select("lang")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
-    best = counts.join(F.broadcast(langs), "lang").withColumn("rank", rank).where(F.col("rank") <= BINS[-1])
+    best = counts.withColumn("rank", rank).where(F.col("rank") <= BINS[-1])
     out: dict[str, list[str]] = {}
     for r in best.orderBy("lang", "rank").collect():
         out.setdefault(r["lang"], []).append(r["word"])
     return out
 
 
+def bin_counts(group: list[list[str]]) -> dict[str, Column]:
+    """Per language of a group and bin, how many of the known words fall into it."""
+    return {f"w_{k}_{b}": _in_set("known", own[i:j]) for k, own in enumerate(group) for b, (i, j) in enumerate(zip((0, *BINS), BINS))}
+
+
 def measures(docs: DataFrame, common: dict[str, list[str]]) -> DataFrame:
-    """Base counts, character classes, and per language and bin the common words of every document."""
+    """Base counts, character classes, and per language and bin the common words of every document.
+
+    The bins are those of the first group of languages; if there are more, the common words are kept for them.
+    """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = _once(docs.select("doc_id", "lang", text.alias("text")), ["doc_id", "lang", "text"], words=words_of(F.col("text")))
     windows = F.when(F.size("words") >= 3, F.transform(
@@ -79,10 +87,9 @@ def measures(docs: DataFrame, common: dict[str, list[str]]) -> DataFrame:
     none = F.array().cast("array<struct<h:bigint,i:int>>")
     ordered = F.when(F.size(F.array_distinct("windows")) < F.size("windows"), F.sort_array(placed)).otherwise(none)
     counts = ["doc_id", "lang", "n_words", "n_chars", "n_blanks", "n_symbols", *(f"c_{k}" for k in CLASSES)]
-    bins = {}
-    for k, own in enumerate(common.values()):
-        for b, (i, j) in enumerate(zip((0, *BINS), BINS)):
-            bins[f"w_{k}_{b}"] = _in_set("known", own[i:j])
+    bins = bin_counts(list(common.values())[:GROUP])
+    if len(common) > GROUP:
+        bins["known"] = F.col("known")
     rows = _once(
         rows, counts, ordered=ordered, n_dup_lines=(F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"), **bins,
     )
@@ -124,20 +131,16 @@ def _bin_columns(k: int) -> list[Column]:
     return [F.col(f"w_{k}_{b}") for b in range(len(BINS))]
 
 
-def rate_quality(docs: DataFrame, char_limit: float = CHAR_LIMIT, word_limit: float = WORD_LIMIT, word_scatter: float = WORD_SCATTER) -> DataFrame:
-    """Counts, distances and verdict for every input row; see the module's contract."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    common = common_words(docs)
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    rows = checkpointed(measures(docs, common).withColumn("base_failed", failed))
+def _fitted(rows: DataFrame, group: list[str], keep: list[str]) -> DataFrame:
+    """The columns to keep, and the best fit so far or among a group of languages, whose bins the rows have."""
     sums = [F.sum(c).alias(f"s{i}") for i, c in enumerate([F.col("n_chars"), F.col("n_words"), *_class_columns()])]
-    sums += [F.sum(c).alias(f"b{k}_{b}") for k in range(len(common)) for b, c in enumerate(_bin_columns(k))]
-    found = {r["lang"]: r for r in rows.where(~F.col("base_failed") & F.col("lang").isin(list(common))).groupBy("lang").agg(*sums).collect()} if common else {}
+    sums += [F.sum(c).alias(f"b{k}_{b}") for k in range(len(group)) for b, c in enumerate(_bin_columns(k))]
+    found = {r["lang"]: r for r in rows.where(~F.col("base_failed") & F.col("lang").isin(group)).groupBy("lang").agg(*sums).collect()} if group else {}
     shares = {"class_shares": _shares(_class_columns(), F.col("n_chars"))}
-    shares |= {f"bin_shares_{k}": _shares(_bin_columns(k), F.col("n_words")) for k in range(len(common))}
-    rows = _once(rows, COUNTS, **shares)
-    choices = []
-    for k, lang in enumerate(common):
+    shares |= {f"bin_shares_{k}": _shares(_bin_columns(k), F.col("n_words")) for k in range(len(group))}
+    rows = _once(rows, [*keep, "best"], **shares)
+    choices = [F.col("best")]
+    for k, lang in enumerate(group):
         r = found.get(lang)
         if r is None or not r["s0"] or not r["s1"]:
             continue
@@ -146,8 +149,25 @@ def rate_quality(docs: DataFrame, char_limit: float = CHAR_LIMIT, word_limit: fl
         chars = divergence(F.col("class_shares"), [*classes, max(0.0, 1 - sum(classes))])
         words = divergence(F.col(f"bin_shares_{k}"), [*bins, max(0.0, 1 - sum(bins))])
         choices.append(F.struct((chars + words).alias("both"), chars.alias("chars"), words.alias("words")))
+    return _once(rows, keep, best=F.array_min(F.array(*choices)))
+
+
+def rate_quality(docs: DataFrame, char_limit: float = CHAR_LIMIT, word_limit: float = WORD_LIMIT, word_scatter: float = WORD_SCATTER) -> DataFrame:
+    """Counts, distances and verdict for every input row; see the module's contract."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    common = common_words(docs)
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    rows = checkpointed(measures(docs, common).withColumn("base_failed", failed))
+    languages = list(common)
     null = F.lit(None).cast("struct<both:double,chars:double,words:double>")
-    rows = _once(rows, COUNTS, best=F.array_min(F.array(*choices)) if choices else null).withColumns({
+    kept = [c for c in rows.columns if not c.startswith("w_")]
+    rows = rows.withColumn("best", null)
+    for at in range(0, max(1, len(languages)), GROUP):
+        group, last = languages[at : at + GROUP], at + GROUP >= len(languages)
+        if at:
+            rows = checkpointed(_once(rows, [*kept, "best"], **bin_counts([common[x] for x in group])))
+        rows = _fitted(rows, group, COUNTS if last else kept)
+    rows = rows.withColumns({
         "_c": F.when(F.col("n_chars") >= LEAST_CHARS, F.col("best.chars")),
         "_w": F.when(F.col("n_words") >= LEAST_WORDS, F.col("best.words")),
     })

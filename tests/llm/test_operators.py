@@ -176,6 +176,21 @@ def test_quality_counts_and_verdict(spark, odd, empty):
     assert all(kept[i] for i in range(60)) and not kept[900] and not kept[901]
 
 
+def test_quality_has_references_for_every_language(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = []
+    for k in range(35):
+        words = ["%s%s%s" % tuple(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(3)) for _ in range(30)]
+        for i in range(3):
+            text = " ".join(rng.choices(words, weights=[(r + 1) ** -0.5 for r in range(30)], k=150))
+            rows.append((10 * k + i, text, "l%02d" % k, "a", 1))
+    docs = spark.createDataFrame(rows, SCHEMA).coalesce(2)
+    got = {r.doc_id: r for r in quality.rate_quality(docs).collect()}
+    assert len(got) == 105 and not any(r.base_failed for r in got.values()) and all(r.kept for r in got.values())
+    monkeypatch.setattr(quality, "GROUP", 12)
+    assert {r.doc_id: r for r in quality.rate_quality(docs).collect()} == got
+
+
 def test_quality_runs_no_python(spark, odd):
     plan = quality.rate_quality(odd)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
