@@ -49,4 +49,68 @@ WITH v AS (
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5
 """
 
-ORACLE = {"op2_exact_topk": OP2, "op3_mixing": OP3}
+# crc32 has no function there: eight shifts per byte of the decimal id.
+OP11 = r"""
+WITH RECURSIVE c AS (
+  SELECT *, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+    lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z: xor(y >> 1, 3988292384 * (y & 1)))) AS crc
+  FROM documents
+), e AS (
+  SELECT doc_id, source, text, xor(crc, 4294967295) % 5 = 0 AS tampered,
+         concat_ws('', coalesce(strlen(doc_id::VARCHAR)::VARCHAR || ':' || doc_id::VARCHAR, '-'), coalesce(strlen(source)::VARCHAR || ':' || source, '-'),
+           coalesce(strlen(lang)::VARCHAR || ':' || lang, '-'), coalesce(strlen(n_chars::VARCHAR)::VARCHAR || ':' || n_chars::VARCHAR, '-')) AS head,
+         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS small
+  FROM c
+), h AS (
+  SELECT doc_id, source, sha256(head || coalesce(strlen(text)::VARCHAR || ':' || text, '-')) AS leaf,
+         CASE WHEN coalesce(tampered, false) THEN sha256(head || coalesce(strlen(small)::VARCHAR || ':' || small, '-')) END AS changed
+  FROM e
+), l AS (
+  SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS grp, count(*) OVER (PARTITION BY source) AS n,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+  FROM h
+), t AS (
+  SELECT grp, 0 AS level, pos AS idx, leaf AS digest, n FROM l
+  UNION ALL
+  SELECT grp, level + 1, idx // 16, sha256(string_agg(digest, '' ORDER BY idx)), (n + 15) // 16
+  FROM t WHERE n > 1 GROUP BY grp, level, idx // 16, n
+), s AS (
+  SELECT grp, digest, max(level) OVER () AS high FROM t WHERE n = 1
+), u AS (
+  SELECT 0 AS level, grp AS idx, digest, count(*) OVER () AS n FROM s
+  UNION ALL
+  SELECT level + 1, idx // 16, sha256(string_agg(digest, '' ORDER BY idx)), (n + 15) // 16 FROM u WHERE n > 1 GROUP BY level, idx // 16, n
+), f AS (
+  SELECT doc_id, leaf, grp, pos, 0 AS level, pos AS idx, coalesce(changed, leaf) AS x FROM l
+  UNION ALL
+  SELECT f.doc_id, f.leaf, f.grp, f.pos, f.level + 1, f.idx // 16, sha256(string_agg(CASE WHEN t.idx = f.idx THEN f.x ELSE t.digest END, '' ORDER BY t.idx))
+  FROM f JOIN t ON t.grp = f.grp AND t.level = f.level AND t.idx // 16 = f.idx // 16 AND t.n > 1
+  GROUP BY f.doc_id, f.leaf, f.grp, f.pos, f.level, f.idx
+), g AS (
+  SELECT f.*, s.digest AS subroot FROM f JOIN s USING (grp) JOIN t ON t.grp = f.grp AND t.level = f.level AND t.n = 1
+), k AS (
+  SELECT doc_id, leaf, grp, pos, subroot, 0 AS level, grp AS idx, x FROM g
+  UNION ALL
+  SELECT k.doc_id, k.leaf, k.grp, k.pos, k.subroot, k.level + 1, k.idx // 16, sha256(string_agg(CASE WHEN u.idx = k.idx THEN k.x ELSE u.digest END, '' ORDER BY u.idx))
+  FROM k JOIN u ON u.level = k.level AND u.idx // 16 = k.idx // 16 AND u.n > 1
+  GROUP BY k.doc_id, k.leaf, k.grp, k.pos, k.subroot, k.level, k.idx
+), p AS (
+  SELECT f.grp, f.pos, 0 AS tree, f.level, t.idx, t.digest FROM f JOIN t ON t.grp = f.grp AND t.level = f.level AND t.idx // 16 = f.idx // 16 AND t.idx <> f.idx
+  UNION ALL
+  SELECT k.grp, k.pos, 1, k.level, u.idx, u.digest FROM k JOIN u ON u.level = k.level AND u.idx // 16 = k.idx // 16 AND u.idx <> k.idx
+), q AS (
+  SELECT grp, pos, string_agg(digest, '' ORDER BY tree, level, idx) AS proof FROM p GROUP BY grp, pos
+), r AS (
+  SELECT digest AS root FROM u WHERE n = 1
+)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) AS proof_sha256, x AS folded_root, x = root AS verified
+FROM k JOIN u ON u.level = k.level AND u.n = 1 CROSS JOIN r LEFT JOIN q USING (grp, pos)
+"""
+
+OP13 = """
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+       doc_id IS NOT DISTINCT FROM max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
+"""
+
+ORACLE = {"op2_exact_topk": OP2, "op3_mixing": OP3, "op11_manifest": OP11, "op13_exact_dedup": OP13}

@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pressledger.llm import langid, mixing, neardup, packing, pii, quality, secrets, tokencount, topk, toxicity
+from pressledger.llm import exactdup, langid, manifest, mixing, neardup, packing, pii, quality, secrets, tokencount, topk, toxicity
 from pressledger.llm.pretokens import vocabulary
 
 
@@ -72,5 +72,22 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_languages(docs, langid.fit(docs))
 
 
+#: The check of the manifest: which rows are tampered with, and how their text changes.
+CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    built = manifest.build_manifest(
+        _table(spark, sf_dir, "documents"), tampered, lambda text: F.translate(text, CAPITALS, CAPITALS.lower())
+    )
+    proof = F.sha2(F.col("proof").cast("binary"), 256).alias("proof_sha256")
+    return manifest.prove(built).select("doc_id", "leaf", "subroot", "root", proof, "folded_root", "verified")
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exactdup.exact_groups(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {"op1_toxicity": op1_toxicity, "op2_exact_topk": op2_exact_topk, "op3_mixing": op3_mixing, "op4_quality": op4_quality, "op5_packing": op5_packing, "op6_secrets": op6_secrets, "op7_token_counts": op7_token_counts, "op8_near_duplicates": op8_near_duplicates, "op9_personal_data": op9_personal_data,
-    "op10_language_id": op10_language_id}
+    "op10_language_id": op10_language_id, "op11_manifest": op11_manifest, "op13_exact_dedup": op13_exact_dedup}
