@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pressledger.llm import exactdup, langid, manifest, mixing, neardup, packing, pii, quality, secrets, tokencount, topk, toxicity
+from pressledger.llm import alignment, exactdup, langid, manifest, mixing, neardup, packing, pii, quality, secrets, tokencount, topk, toxicity
 from pressledger.llm.pretokens import vocabulary
 
 
@@ -85,9 +85,15 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.prove(built).select("doc_id", "leaf", "subroot", "root", proof, "folded_root", "verified")
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.align(_table(spark, sf_dir, "documents"), vocabulary(), vocabulary("piece_bpe_32k.model"))
+    digest = F.when(F.col("n_a") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise("").alias("groups_sha256")
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest)
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdup.exact_groups(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {"op1_toxicity": op1_toxicity, "op2_exact_topk": op2_exact_topk, "op3_mixing": op3_mixing, "op4_quality": op4_quality, "op5_packing": op5_packing, "op6_secrets": op6_secrets, "op7_token_counts": op7_token_counts, "op8_near_duplicates": op8_near_duplicates, "op9_personal_data": op9_personal_data,
-    "op10_language_id": op10_language_id, "op11_manifest": op11_manifest, "op13_exact_dedup": op13_exact_dedup}
+    "op10_language_id": op10_language_id, "op11_manifest": op11_manifest, "op12_alignment": op12_alignment, "op13_exact_dedup": op13_exact_dedup}
