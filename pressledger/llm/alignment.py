@@ -33,11 +33,13 @@ from pressledger.llm.common import checkpointed, mix64
 from pressledger.llm.pretokens import ODD_BLANK, PLAIN, rank_encoder
 
 #: Characters of text in a block, and documents at most.
-BLOCK_CHARS, BLOCK_ROWS = 8 << 20, 1 << 16
+BLOCK_CHARS, BLOCK_ROWS = 4 << 20, 1 << 16
+#: Links of documents worked on at once, one document at least.
+RUN_PAIRS = 1 << 20
 #: Input bytes per bucket of pairs.
 BUCKET_BYTES, LEAST_BUCKETS = 8 << 20, 16
 #: Distinct stretches whose ids a worker keeps from block to block.
-KEPT = 300_000
+KEPT = 200_000
 #: A blank where both sides always end a token: between a character other than a blank and plain visible text.
 CUT = re.compile(r"(?<=[^ ▁]) (?=[!-~¡-ᙿᚁ-៿])")
 
@@ -244,6 +246,26 @@ def encoded(texts: list[str | None], both: Sides) -> tuple[Stretches, np.ndarray
     return Stretches(a, n_a, b, n_b, both), order, np.array([len(o) for o in orders], dtype=np.int64)
 
 
+def _documents_of(own: Stretches, order: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """How many documents of a block hold each distinct pair; documents are taken in runs of bounded size."""
+    docs = np.zeros(len(own.pairs), dtype=np.int64)
+    starts, width = np.cumsum(own.n_pairs) - own.n_pairs, max(len(own.n_a), 1)
+    ends = np.cumsum(sizes)
+    weight = np.cumsum(_per(own.n_pairs[order], sizes))
+    i = 0
+    while i < len(sizes):
+        j = max(i + 1, int(np.searchsorted(weight, (weight[i - 1] if i else 0) + RUN_PAIRS, side="right")))
+        part = order[ends[i] - sizes[i] : ends[j - 1]]
+        # Distinct stretches of each document, then distinct pairs of each document.
+        cells = np.unique(np.repeat(np.arange(j - i), sizes[i:j]) * width + part)
+        doc, stretch = cells // width, cells % width
+        numbers = own.number[_ragged(starts[stretch], own.n_pairs[stretch])]
+        cells = np.unique(np.repeat(doc, own.n_pairs[stretch]) * max(len(own.pairs), 1) + numbers)
+        docs += np.bincount(cells % max(len(own.pairs), 1), minlength=len(own.pairs))
+        i = j
+    return docs
+
+
 _FOUND = "block long, bucket long, data binary"
 
 
@@ -261,14 +283,7 @@ def _found(path_a: str, path_b: str, buckets: int):
             whole = packed(ids, null, sizes, order, own.ids_a, own.n_a, own.ids_b, own.n_b)
             yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int64()), "bucket": pa.array([-1], pa.int64()), "data": pa.array([whole], pa.binary())})
 
-            # Distinct stretches of each document, then distinct pairs of each document.
-            doc = np.repeat(np.arange(len(held)), sizes)
-            cells = np.unique(doc * max(len(own.n_a), 1) + order)
-            doc, stretch = cells // max(len(own.n_a), 1), cells % max(len(own.n_a), 1)
-            starts = np.cumsum(own.n_pairs) - own.n_pairs
-            numbers = own.number[_ragged(starts[stretch], own.n_pairs[stretch])]
-            cells = np.unique(np.repeat(doc, own.n_pairs[stretch]) * max(len(own.pairs), 1) + numbers)
-            docs = np.bincount(cells % max(len(own.pairs), 1), minlength=len(own.pairs))
+            docs = _documents_of(own, order, sizes)
             # Stretches of texts without tokens count for nothing.
             held_, docs = np.flatnonzero(docs), docs[docs > 0]
             pairs = own.pairs[held_]
