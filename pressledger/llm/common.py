@@ -24,8 +24,8 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_BASE = 0x9E3779B97F4A7C15 | 5
-_INVERSE = pow(_BASE, -1, 1 << 64)
+_PRIME = np.uint64((1 << 31) - 1)
+_BASES = 1_103_515_245, 1_812_433_253
 
 
 def fold_of(doc_id: Column) -> Column:
@@ -66,31 +66,42 @@ def row_chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[
         i = j
 
 
+def _folded(x: np.ndarray) -> np.ndarray:
+    """The same remainders modulo 2^31 - 1, in 34 bits at most."""
+    return (x & _PRIME) + (x >> np.uint64(31))
+
+
 class _Powers:
-    """Powers of the base and of its inverse modulo 2^64, kept by a worker as far as it has needed them."""
+    """Powers of a base and of its inverse modulo 2^31 - 1, kept by a worker as far as it has needed them."""
 
-    def __init__(self):
-        self.up = self.down = np.ones(1, dtype=np.uint64)
+    def __init__(self, base: int):
+        self.up, self.down = (np.ones(1, dtype=np.uint64) for _ in range(2))
+        self.steps = base, pow(base, -1, int(_PRIME))
 
     def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            size = 1 << n.bit_length()
-            for name, base in (("up", _BASE), ("down", _INVERSE)):
-                steps = np.full(size, base, dtype=np.uint64)
-                steps[0] = 1
-                setattr(self, name, np.multiply.accumulate(steps))
+        while len(self.up) < n:
+            size = len(self.up)
+            more = [np.uint64(pow(base, size, int(_PRIME))) for base in self.steps]
+            self.up, self.down = (np.concatenate((x, x * m % _PRIME)) for x, m in zip((self.up, self.down), more, strict=True))
         return self.up, self.down
 
 
-_POWERS = _Powers()
+_POWERS = tuple(_Powers(base) for base in _BASES)
 
 
 def pieces(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte ranges of one buffer, by a prefix sum of a polynomial; the place doesn't matter."""
-    up, down = _POWERS.of(len(data) + 1)
+    """64-bit hashes of byte ranges of one buffer, by prefix sums of two polynomials modulo a prime; the place doesn't matter.
+
+    Two different ranges of n bytes collide at no more than n of the 2^31 values that each base might have had.
+    """
+    digits = data.astype(np.uint64) + np.uint64(1)
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
-    return mix64((sums[ends] - sums[starts]) * down[starts])
+    out = np.zeros(len(starts), dtype=np.uint64)
+    for powers in _POWERS:
+        up, down = powers.of(len(data) + 1)
+        np.cumsum(_folded(digits * up[: len(data)]), out=sums[1:])
+        out = out << np.uint64(32) | (sums[ends] - sums[starts]) % _PRIME * down[starts] % _PRIME
+    return mix64(out)
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
@@ -106,8 +117,3 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tu
     ends = np.flatnonzero(~space & (after | edge[1:])) + 1
     rows = np.searchsorted(offsets, starts, side="right") - 1
     return rows, pieces(_LOWER[data] if lower else data, starts, ends)
-
-
-def write_once(df: DataFrame) -> DataFrame:
-    """A checkpoint in the shared folder, so that later passes and lost executors read a finished table."""
-    return checkpointed(df)

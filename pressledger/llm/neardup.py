@@ -490,17 +490,18 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """One row of every group, that of the smallest id, with all its columns; rows without id stay.
 
-    Of rows that repeat an id, the first by a hash of all columns stays.
+    Of rows that repeat an id, the first by a hash of the row as JSON stays; columns of any type and name may come along.
     """
     found = checkpointed(near_duplicates(docs, percent).where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.max("kept").alias("kept"), F.count("*").alias("n")
     ))
     dropped = _small(checkpointed(found.where(~F.col("kept")).select("doc_id")))
-    left = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    columns = [f"`{c.replace('`', '``')}`" for c in docs.columns]
+    left = docs.join(dropped, "doc_id", "left_anti").select(*columns)
     repeated = checkpointed(found.where(F.col("kept") & (F.col("n") > 1)).select("doc_id"))
     if repeated.isEmpty():
         return left
     packed = left.join(_small(repeated), "doc_id", "left_semi").select("doc_id", F.struct("*").alias("__row"))
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("__row"), "__row")
-    first = packed.withColumn("__place", F.row_number().over(order)).where(F.col("__place") == 1).select("__row.*")
-    return left.join(_small(repeated), "doc_id", "left_anti").unionByName(first.select(*left.columns)).select(*docs.columns)
+    # A row as JSON has an order and a hash whatever its columns are.
+    first = packed.groupBy("doc_id").agg(F.min_by("__row", F.sha2(F.to_json("__row"), 256)).alias("__row")).select("__row.*")
+    return left.join(_small(repeated), "doc_id", "left_anti").select(*columns).union(first.select(*columns))
