@@ -5,8 +5,9 @@ inferred (hexadecimal, base 32, lower-case or mixed alphanumeric, base 64), and
 characters of that alphabet: chi-squared on the counts of symbols, a runs test on symbols above and below the
 alphabet's middle, and serial correlation of neighbouring symbols. Fisher's method combines them to one fit.
 
-Prose is what a discovery must be told from, so long words made of letters alone, of all documents, give the null
-distribution of the fit, per length class. A candidate's p-value is the share of the null that fits as well; the
+Prose is what a discovery must be told from, so long words made of letters alone give the null distribution of the fit, per
+length class: a fixed number of letter sequences drawn by the letters' usual frequencies, the same for every table, and all
+such words of all documents. Without long words the fixed ones alone speak, so no table is too small for the method. A candidate's p-value is the share of the null that fits as well; the
 Benjamini-Hochberg step-up is applied within each length class, since short runs carry little evidence. Counts of
 fits in bins are all that is gathered for that. A run of letters alone is never a discovery.
 
@@ -16,8 +17,12 @@ null or empty text has none. Rows that repeat an id are scanned each by itself.
 read. Nothing is grouped by document or source.
 """
 
+import functools
 import math
+import random
 import re
+import string
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,6 +54,11 @@ CLASSES = (16, 20, 24, 32, 48)
 BINS = 200
 FALSE_SHARE = 0.05
 
+#: How often the letters a to z come in English, in units of 0.01 %.
+LETTERS = (817, 149, 278, 425, 1270, 223, 202, 609, 697, 15, 77, 403, 241, 675, 751, 193, 10, 599, 633, 906, 276, 98, 236, 15, 197, 7)
+#: Letter sequences of the fixed null per length class.
+FIXED_WORDS = 2_000
+
 _sets = {name: frozenset(x) for name, x in ALPHABETS.items()}
 _places = {name: {c: i for i, c in enumerate(x)} for name, x in ALPHABETS.items()}
 
@@ -98,6 +108,17 @@ def length_class(n: int) -> int:
     return sum(n >= x for x in CLASSES) - 1
 
 
+@functools.cache
+def fixed_null(each: int = FIXED_WORDS) -> dict[int, int]:
+    """Counts by class and bin of letter sequences drawn by the usual frequencies, lengths spread over the class; ever the same."""
+    rng, out = random.Random(1), Counter()
+    for own, (low, high) in enumerate(zip(CLASSES, (*CLASSES[1:], 2 * CLASSES[-1]), strict=True)):
+        for i in range(each):
+            run = "".join(rng.choices(string.ascii_lowercase, LETTERS, k=low + i % (high - low)))
+            out[own * BINS + min(BINS - 1, int(randomness(run) * BINS))] += 1
+    return dict(out)
+
+
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     out = []
     if ":" in text or "=" in text:
@@ -146,27 +167,25 @@ def discoveries(candidates: dict[int, int], null: dict[int, int], share: float =
     """The lowest bin accepted per length class; classes without discoveries are left out.
 
     The p-value of a bin is (1 + null at or above) / (1 + null); step-up: the lowest bin whose p-value is at most
-    share x candidates at or above / candidates. Long words are rare and fit a uniform alphabet less the longer they
-    are, so the null of a class holds that of the shorter ones too, which errs on the safe side.
+    share x candidates at or above / candidates.
     """
     out = {}
-    pooled = [0] * BINS
     for own in range(len(CLASSES)):
         cells = range(own * BINS, (own + 1) * BINS)
-        pooled = [n + null.get(c, 0) for n, c in zip(pooled, cells, strict=True)]
-        total, words = sum(candidates.get(c, 0) for c in cells), sum(pooled)
+        total, words = sum(candidates.get(c, 0) for c in cells), sum(null.get(c, 0) for c in cells)
         above = words_above = 0
         for b in range(BINS - 1, 0, -1):
             above += candidates.get(own * BINS + b, 0)
-            words_above += pooled[b]
+            words_above += null.get(own * BINS + b, 0)
             if above and (1 + words_above) / (1 + words) <= share * above / total:
                 out[own] = b
     return out
 
 
 def _lowest(counts: list, share: float) -> dict[int, int]:
-    """From rows of cell, candidate, count: classes x bins x 2 at most."""
-    return discoveries(*({r["cell"]: r["count"] for r in counts if r["candidate"] is kind} for kind in (True, False)), share)
+    """From rows of cell, candidate, count: classes x bins x 2 at most. The fixed null joins that of the table."""
+    candidates, words = ({r["cell"]: r["count"] for r in counts if r["candidate"] is kind} for kind in (True, False))
+    return discoveries(candidates, Counter(words) + Counter(fixed_null()), share)
 
 
 def scan_secrets(docs: DataFrame, share: float = FALSE_SHARE) -> DataFrame:
