@@ -189,11 +189,12 @@ def top_inner_products(
     asked = checkpointed(asked.select("vec_id", "q.*").select("vec_id", "dim", "vec", "len"))
     turn = rotations(prepared, SAMPLE_ROWS)
     blocks = checkpointed(packed(prepared, BLOCK_ROWS))
-    places = Window.partitionBy("dim").orderBy(F.desc("top"), "part", "seq")
+    order: list[tuple[int, int, int, int]] = []
     lengths: dict[int, list[float]] = {}
     seeds: dict[int, tuple[int, int]] = {}
     for r in blocks.select("dim", "part", "seq", "top").orderBy("dim", F.desc("top"), "part", "seq").collect():
-        lengths.setdefault(r["dim"], []).append(r["top"])
+        order.append((r["dim"], r["part"], r["seq"], len(lengths.setdefault(r["dim"], []))))
+        lengths[r["dim"]].append(r["top"])
         seeds.setdefault(r["dim"], (r["part"], r["seq"]))
     first = {}
     for dim, (part, seq) in seeds.items():
@@ -225,7 +226,10 @@ def top_inner_products(
                     })
 
     cells = checkpointed(packed(asked, QUERY_ROWS).mapInArrow(routed, "dim int, place int, grp int, ids binary, vecs binary, floors binary"))
-    placed = blocks.withColumn("place", F.row_number().over(places) - 1).drop("part", "seq", "top", "n")
+    # The driver has put the blocks in order already, one small row each.
+    columns = [pa.array(x, pa.int32()) for x in zip(*order, strict=True)] or [pa.array([], pa.int32())] * 4
+    places = vectors.sparkSession.createDataFrame(pa.Table.from_arrays(columns, names=["dim", "part", "seq", "place"]))
+    placed = blocks.join(places, ["dim", "part", "seq"]).select("dim", "ids", "vecs", "place")
     wanted = cells.select("dim", "place", F.col("grp").alias("for_grp")).distinct()
     sides = placed.join(wanted, ["dim", "place"])
 
