@@ -61,7 +61,8 @@ def curve_keys(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     rows, words = word_hashes(data, offsets)
     cell = rows << _WIDTH_BITS | (words >> np.uint64(64 - _WIDTH_BITS)).astype(np.int64)
     sign = np.where(words & np.uint64(1), 1.0, -1.0)
-    vectors = np.bincount(cell, weights=sign, minlength=n << _WIDTH_BITS).reshape(n, -1)
+    # Without a word at all numpy counts in whole numbers.
+    vectors = np.bincount(cell, weights=sign, minlength=n << _WIDTH_BITS).astype(np.float64).reshape(n, -1)
     vectors /= np.maximum(np.sqrt((vectors * vectors).sum(axis=1, keepdims=True)), 1e-9)
     spread = np.tanh(4 * (vectors @ _DIRECTIONS * 4))
     return hilbert_index(np.clip((spread + 1) / 2 * (1 << BITS), 0, (1 << BITS) - 1))
