@@ -1,7 +1,9 @@
 """Toxicity by weak supervision: many voters, a generative label model, and a linear classifier on its posteriors.
 
-Voters are lexicons (a fixed list of insults; words mined from labelled rows, in three lists) and patterns (mined word
-beginnings of four to six bytes; disguised insults; repeated hits; hits per word; shouting). Each votes
+Voters are lexicons (a fixed list of insults; words mined from labelled rows) and patterns
+(mined word beginnings of four to six bytes; mined pairs of three-byte characters, for scripts without blanks; disguised insults; repeated
+hits; hits per word; shouting). A feature is mined if its count among toxic rows is beyond chance by a likelihood-ratio test, however
+small a share of them has it, so that more labels show rarer terms. Each votes
 toxic, clean or abstains. A label model fitted by expectation-maximisation gives every voter a table of votes for both classes. Voters
 that still agree once the class is accounted for are correlated; each is discounted by its conditional correlations,
 so that near-copies of one voter don't count twice. A logistic regression is trained on the
@@ -29,8 +31,11 @@ from pressledger.llm.common import _LOWER, checkpointed, is_held_out, mix64, pie
 from pressledger.llm.neardup import shingle_sets
 
 POSITIVES, NEGATIVES = 8_192, 16_384
-#: Mined features kept; the least number and share of toxic sample rows that have one; its least log-odds.
-LEXICON, LEAST_ROWS, LEAST_SHARE, LEAST_ODDS = 4_096, 4, 0.01, 3.0
+#: Mined features kept; the least number of toxic sample rows that have one, and its least log-odds.
+LEXICON, LEAST_ROWS, LEAST_ODDS = 4_096, 4, 3.0
+#: A feature's log-likelihood ratio against equal shares among toxic and clean rows is at least log(features / LUCKY): of all
+#: features seen, fewer than one is expected to pass by chance.
+LUCKY = 5
 THRESHOLD = 0.3
 #: Insults in common use.
 INSULTS = (
@@ -50,9 +55,12 @@ for _letter, _marks in DISGUISES.items():
     for _mark in _marks:
         _UNMASK[ord(_mark)] = ord(_letter)
 PREFIXES = (4, 5, 6)
-#: Kinds of features: whole words, then beginnings by length.
-KINDS = 1 + len(PREFIXES)
-VOTERS = ("insults", "disguised", "words 0", "words 1", "words 2", *(f"beginnings of {n}" for n in PREFIXES), "repeated", "dense", "shouting")
+#: Kinds of features: whole words, beginnings by length, pairs of three-byte characters.
+KINDS = 2 + len(PREFIXES)
+CHARACTERS = KINDS - 1
+VOTERS = (
+    "insults", "disguised", "words", *(f"beginnings of {n}" for n in PREFIXES), "pairs of characters", "repeated", "dense", "shouting",
+)
 _SALT = mix64(np.arange(KINDS) + 500)
 
 
@@ -68,7 +76,7 @@ def _tokens(data: np.ndarray, offsets: np.ndarray, letters: np.ndarray) -> tuple
 
 
 def features(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Kind, row and 64-bit hash of every word and word beginning of a chunk."""
+    """Kind, row and 64-bit hash of every word, word beginning and pair of three-byte characters of a chunk."""
     if not len(data):
         return
     rows, starts, ends = _tokens(data, offsets, _WORD)
@@ -77,6 +85,12 @@ def features(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.nd
     for kind, n in enumerate(PREFIXES, 1):
         long = ends - starts > n
         yield kind, rows[long], pieces(lower, starts[long], starts[long] + n) ^ _SALT[kind]
+    lead = (data >= 0xE0) & (data < 0xF0)
+    at = np.flatnonzero(lead[:-5] & lead[3:-2]) if len(data) > 5 else np.zeros(0, dtype=np.int64)
+    row = np.searchsorted(offsets, at, side="right") - 1
+    inside = at + 6 <= offsets[row + 1]
+    at, row = at[inside], row[inside]
+    yield CHARACTERS, row, pieces(data, at, at + 6) ^ _SALT[CHARACTERS]
 
 
 def _hashes(words: tuple[str, ...]) -> np.ndarray:
@@ -101,9 +115,9 @@ class Lexicon:
 
     def evidence(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Per text: words, distinct insults, disguised insults, per kind of mined feature the distinct hits and summed
-        odds, per third of mined words the hits, share of capitals, exclamation marks per word."""
+        odds, share of capitals, exclamation marks per word."""
         n = len(offsets) - 1
-        out = np.zeros((n, 3 + 2 * KINDS + 3 + 2))
+        out = np.zeros((n, 3 + 2 * KINDS + 2))
         if not len(data):
             return out
         for kind, rows, hashes in features(data, offsets):
@@ -112,10 +126,7 @@ class Lexicon:
                 at = _isin(hashes ^ _SALT[0], self.insults)
                 out[:, 1] = self._distinct(rows, at, len(self.insults), n)[0]
             at = _isin(hashes, self.hashes)
-            count, sums, thirds = self._distinct(rows, at, len(self.hashes), n, self.odds)
-            out[:, 3 + 2 * kind], out[:, 4 + 2 * kind] = count, sums
-            if kind == 0:
-                out[:, 3 + 2 * KINDS : 6 + 2 * KINDS] = thirds
+            out[:, 3 + 2 * kind], out[:, 4 + 2 * kind] = self._distinct(rows, at, len(self.hashes), n, self.odds)
         rows, starts, ends = _tokens(data, offsets, _MASKED)
         marks = np.concatenate(([0], np.cumsum(~_WORD[data])))
         mixed = marks[ends] - marks[starts]
@@ -136,22 +147,20 @@ class Lexicon:
         row, place = cells // max(size, 1), cells % max(size, 1)
         count = np.bincount(row, minlength=n)
         if odds is None:
-            return count, None, None
-        thirds = np.stack([np.bincount(row[place % 3 == k], minlength=n) for k in range(3)], axis=1)
-        return count, np.bincount(row, weights=odds[place] if size else None, minlength=n), thirds
+            return count, None
+        return count, np.bincount(row, weights=odds[place] if size else None, minlength=n)
 
 
 def votes(evidence: np.ndarray) -> np.ndarray:
     """1 toxic, -1 clean, 0 abstains; one column per voter."""
     words, insults, disguised = evidence[:, 0], evidence[:, 1], evidence[:, 2]
     hits = evidence[:, 3 : 3 + 2 * KINDS : 2]
-    thirds = evidence[:, 3 + 2 * KINDS : 6 + 2 * KINDS]
     long = words >= 20
     either = lambda yes, no: np.where(yes, 1, np.where(no, -1, 0))
     all_hits = insults + hits.sum(axis=1)
     columns = [either(insults > 0, False), either(disguised > 0, False)]
-    columns += [either(thirds[:, k] > 0, long) for k in range(3)]
-    columns += [either(hits[:, k] > 0, long) for k in range(1, KINDS)]
+    # A text without three-byte characters says nothing about their pairs.
+    columns += [either(hits[:, k] > 0, long & (k != CHARACTERS)) for k in range(KINDS)]
     columns += [either(all_hits >= 2, all_hits == 0), either(all_hits > 0.01 * np.maximum(words, 1), all_hits == 0)]
     columns += [either((evidence[:, -2] > 0.5) & (evidence[:, -1] > 0.2), False)]
     return np.stack(columns, axis=1).astype(np.int8)
@@ -286,7 +295,12 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negative
         return _default()
     odds = F.log((F.col("yes") + 0.5) / (yes + 1)) - F.log((F.col("no") + 0.5) / (no + 1))
     mined = sample.mapInArrow(_mined, "feature long, yes int, no int").groupBy("feature").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
-    mined = mined.where(F.col("yes") >= max(LEAST_ROWS, LEAST_SHARE * yes)).withColumn("odds", odds).where(F.col("odds") >= LEAST_ODDS)
+    mined = checkpointed(mined)
+    least = float(np.log(max(mined.count() / LUCKY, 1)))
+    every = F.col("yes") + F.col("no")
+    among = lambda found, of: F.when(found > 0, found * F.log(found * (yes + no) / (every * of))).otherwise(0.0)
+    mined = mined.where((F.col("yes") >= LEAST_ROWS) & (among(F.col("yes"), yes) + among(F.col("no"), no) >= least))
+    mined = mined.withColumn("odds", odds).where(F.col("odds") >= LEAST_ODDS)
     best = mined.orderBy(F.desc(F.col("odds") * F.sqrt("yes")), "feature").limit(LEXICON).collect()
     hashes = np.array([r["feature"] for r in best], dtype=np.int64).view(np.uint64)
     order = np.argsort(hashes)
