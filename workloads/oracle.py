@@ -289,6 +289,11 @@ top AS (
 
 _EDGE_SPACE = "regexp_replace({x}, '^[\\s]+|[\\s]+$', '', 'g')"
 
+_ARTICLE_TEXT = f"""SELECT CAST(doc_id AS VARCHAR) AS article_id, {_EDGE_SPACE.format(x="a || chr(10) || chr(10) || b")} AS text
+        FROM (SELECT doc_id, {_EDGE_SPACE.format(x="split_part(text, chr(10), 1)")} AS a,
+        {_EDGE_SPACE.format(x="CASE WHEN instr(text, chr(10)) > 0 THEN substr(text, instr(text, chr(10)) + 1) ELSE '' END")} AS b
+        FROM documents)"""
+
 ORACLE = {
     "parse_arr": _WITH + """SELECT article_id, arr_usd, source_currency, lower_bound_source, upper_bound_source,
         arr_parse_status, arr_parse_reason FROM t""",
@@ -337,10 +342,7 @@ ORACLE = {
         AND industry_standardized = 'AI_ML' AND arr_usd > 50000000""",
     "quality_issues": f"""{_WITH}, {_DIM_ROWS}, {_ISSUE_ROWS}
         SELECT {_ISSUE_ID} AS issue_id, 'run' AS pipeline_run_id, * FROM raised""",
-    "article_text": f"""SELECT CAST(doc_id AS VARCHAR) AS article_id, {_EDGE_SPACE.format(x="a || chr(10) || chr(10) || b")} AS text
-        FROM (SELECT doc_id, {_EDGE_SPACE.format(x="split_part(text, chr(10), 1)")} AS a,
-        {_EDGE_SPACE.format(x="CASE WHEN instr(text, chr(10)) > 0 THEN substr(text, instr(text, chr(10)) + 1) ELSE '' END")} AS b
-        FROM documents)""",
+    "article_text": _ARTICLE_TEXT,
     "tfidf_vocabulary": _TFIDF + " SELECT term, idx, corpus_count, document_frequency, round(idf, 6) AS idf FROM vocabulary",
     "tfidf_weights": _TFIDF + " SELECT CAST(doc_id AS VARCHAR) AS article_id, term, round(weight, 6) AS weight FROM weights",
     "semantic_search": _search(),
@@ -408,4 +410,17 @@ SELECT CAST(s AS VARCHAR) AS source_article_id, CAST(m AS VARCHAR) AS similar_ar
         UNION ALL SELECT 'bridge_article_similarity', count(*) * {rules.NEIGHBOURS} FROM t
         UNION ALL SELECT 'ai_articles_enriched', count(*) FROM t WHERE {_EXPORT_WHERE}
         UNION ALL SELECT 'article_embedding', count(*) FROM t""",
+    # Published vectors are single precision.
+    "published_search": "SELECT article_id, similarity_score, title FROM ("
+        + _search().replace("sum(w.weight * q.weight)", "sum(CAST(CAST(w.weight AS FLOAT) AS DOUBLE) * q.weight)") + ")",
+    "incremental_run": _WITH + """ SELECT article_id, CASE WHEN ok % 50 = 3 THEN 'INSERTED' WHEN c = 7 THEN 'UPDATED' ELSE 'UNCHANGED' END AS change,
+          arr_usd, source_currency, lower_bound_source, upper_bound_source, arr_parse_status, arr_parse_reason FROM t
+        UNION ALL SELECT 'OLD' || article_id, 'DELETED', NULL, NULL, NULL, NULL, NULL, NULL FROM t WHERE ok % 90 = 5""",
+    "vector_cache": f"""{_TFIDF}, a AS ({_ARTICLE_TEXT}), e AS (
+          SELECT text, CASE WHEN CAST(article_id AS BIGINT) % 3 = 0 THEN text || ' earlier' ELSE text END AS earlier FROM a
+        )
+        SELECT CAST(doc_id AS VARCHAR) AS article_id, CAST(count(weight) AS INTEGER) AS terms, round(coalesce(sum(weight), 0.0), 6) AS total,
+          (SELECT count(DISTINCT earlier) FROM e) AS encoded_first,
+          (SELECT count(DISTINCT text) FROM e WHERE text NOT IN (SELECT earlier FROM e)) AS encoded_second
+        FROM documents LEFT JOIN weights USING (doc_id) GROUP BY doc_id""",
 }

@@ -14,16 +14,18 @@ from pressledger.functions.taxonomy import (
 )
 from pressledger.functions.text import article_text
 from pressledger.operators import search, similarity, tfidf, validate
+from pressledger.operators.vector_cache import cached_vectors
 from pressledger.operators.fuzzy import fuzzy_suggest
 from pressledger.operators.joins import lookup_join
 from pressledger.operators.matching import distinct_names, master_points, normalize_name, resolve_companies
 from pressledger.operators.quality import quality_issues
 from pressledger.plans import model
+from pressledger.plans.incremental import read_store, update_store
 from pressledger.plans.run import run
 from pressledger.schemas import ARTICLE_COLUMNS
 from pressledger.session import checkpointed, shared_folder
 from pressledger.sources.articles import read_csv
-from pressledger.sources.published import read_current
+from pressledger.sources.published import read_current, search_published
 from workloads import testdata as td
 
 RUN_ID = "run"
@@ -385,4 +387,42 @@ def q_publish_roundtrip(spark, sf):
     return validate.row_counts(read_current(spark, base))
 
 
+def q_published_search(spark, sf):
+    """A whole run over documents as articles; then a new session searches what was published, with the stored text model."""
+    base = _run_folder(spark)
+    run(spark, td.raw_documents(spark, sf), td.customer_master(spark, sf), base, aliases=td.customer_aliases(spark, sf), ambiguous=td.customer_ambiguous(spark, sf))
+    return search_published(spark.newSession(), base, SEARCH_TEXT, TOP_K).select("article_id", "similarity_score", "title")
+
+
+def q_incremental_run(spark, sf):
+    """The article store after an earlier state of the orders and then the present one: what changed, and the parsed amounts."""
+    base = _run_folder(spark)
+    now = td.orders_articles(spark, sf)
+    order = F.col("source_row_number") - 2
+    earlier = now.where(order % 50 != 3).withColumn("revenue", F.when(order % 20 == 7, "1M").otherwise(F.col("revenue")))
+    gone = now.where(order % 90 == 5).withColumn("article_id", F.concat(F.lit("OLD"), "article_id"))
+    update_store(spark, base, model.prepare_articles(earlier.unionByName(gone)), buckets=32)
+    done = update_store(spark, base, model.prepare_articles(now), buckets=32)
+    rows = read_store(spark, base, done.folders).select("article_id", *ARR_COLUMNS)
+    return done.changes.select("article_id", "change").join(rows, "article_id", "left").withColumns({
+        c: F.col(c).cast("double") for c in ("lower_bound_source", "upper_bound_source")
+    })
+
+
+def q_vector_cache(spark, sf):
+    """Vectors of all documents after an earlier state of every third one: how many texts each pass had to encode, and weights."""
+    folder = _run_folder(spark)
+    docs = _documents(spark, sf).select("article_id", "text")
+    fitted = tfidf.fit_tfidf(docs, "text")
+    earlier = docs.withColumn("text", F.when(F.col("article_id").cast("long") % 3 == 0, F.concat("text", F.lit(" earlier"))).otherwise(F.col("text")))
+    encode = lambda texts: fitted.transform(texts, "text")
+    _, first = cached_vectors(spark, folder, earlier, encode, "tfidf")
+    vectors, second = cached_vectors(spark, folder, docs, encode, "tfidf")
+    weights = F.filter("embedding", lambda w: w != 0)
+    return vectors.select(
+        "article_id", F.size(weights).alias("terms"), F.round(F.aggregate(weights, F.lit(0.0), lambda a, w: a + w), 6).alias("total"),
+        F.lit(first).cast("bigint").alias("encoded_first"), F.lit(second).cast("bigint").alias("encoded_second"),
+    )
+
+
 QUERIES = {name.removeprefix("q_"): fn for name, fn in list(globals().items()) if name.startswith("q_")}

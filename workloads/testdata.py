@@ -140,6 +140,15 @@ def document_articles(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def raw_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as raw articles, in the order of their ids, which count from 0."""
+    return document_articles(spark, sf).selectExpr(
+        "article_id", "title", "company_name", "string(published_date) AS published_date", "category",
+        "if(arr_usd IS NULL, 'N/A', concat('$', arr_usd)) AS revenue", "summary", "concat('https://news.example/', article_id) AS url",
+        "company_name AS author", "'1' AS word_count", "source_row_number + 2 AS source_row_number", "'documents' AS source_file",
+    )
+
+
 def embedding_vectors(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "embeddings").select(
         F.col("vec_id").alias("article_id"), F.col("vec_id").alias("position"), "embedding", "label"
