@@ -89,22 +89,49 @@ class _Powers:
 _POWERS = tuple(_Powers(base) for base in _BASES)
 
 
-def pieces(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte ranges of one buffer, by prefix sums of two polynomials modulo a prime; the place doesn't matter.
+class ByteHashes:
+    """64-bit hashes of any byte ranges of one buffer, by prefix sums of two polynomials modulo a prime; the place doesn't matter.
 
     Two different ranges of n bytes collide at no more than n of the 2^31 values that each base might have had.
     """
-    digits = data.astype(np.uint64) + np.uint64(1)
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    out = np.zeros(len(starts), dtype=np.uint64)
-    for powers in _POWERS:
-        up, down = powers.of(len(data) + 1)
-        np.cumsum(_folded(digits * up[: len(data)]), out=sums[1:])
-        out = out << np.uint64(32) | (sums[ends] - sums[starts]) % _PRIME * down[starts] % _PRIME
-    return mix64(out)
+
+    def __init__(self, data: np.ndarray):
+        digits = data.astype(np.uint64) + np.uint64(1)
+        self.sums, self.down = [], []
+        for powers in _POWERS:
+            up, down = powers.of(len(data) + 1)
+            sums = np.zeros(len(data) + 1, dtype=np.uint64)
+            np.cumsum(_folded(digits * up[: len(data)]), out=sums[1:])
+            self.sums.append(sums)
+            self.down.append(down)
+
+    def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(starts), dtype=np.uint64)
+        for sums, down in zip(self.sums, self.down, strict=True):
+            out = out << np.uint64(32) | (sums[ends] - sums[starts]) % _PRIME * down[starts] % _PRIME
+        return mix64(out)
+
+
+def pieces(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return ByteHashes(data).of(starts, ends)
+
+
+_QUICK_BASE = 0x9E3779B97F4A7C15
+
+
+def quick_pieces(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Cheaper hashes by bytes of a range's ends and sums: only for places on a curve, where different ranges may well share one."""
+    sums = np.zeros(len(data) + 1, dtype=np.int64)
+    np.cumsum(data, out=sums[1:], dtype=np.int64)
+    size = ends - starts
+    eight = np.concatenate((data, np.zeros(8, dtype=np.uint8)))
+    head = sum(eight[starts + i].astype(np.uint64) * (size > i) << np.uint64(8 * i) for i in range(4))
+    tail = sum(data[np.maximum(ends - 1 - i, starts)].astype(np.uint64) << np.uint64(8 * i) for i in range(4))
+    mixed = (head | tail << np.uint64(32)) * np.uint64(_QUICK_BASE) + (sums[ends] - sums[starts]).astype(np.uint64)
+    return mix64(mixed + (size.astype(np.uint64) << np.uint64(48)))
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True, hashes=pieces) -> tuple[np.ndarray, np.ndarray]:
     """Row number and 64-bit hash of every word of a chunk, in order; A-Z in lower case if asked."""
     if len(data) == 0:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
@@ -116,4 +143,4 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tu
     starts = np.flatnonzero(~space & (before | edge[:-1]))
     ends = np.flatnonzero(~space & (after | edge[1:])) + 1
     rows = np.searchsorted(offsets, starts, side="right") - 1
-    return rows, pieces(_LOWER[data] if lower else data, starts, ends)
+    return rows, hashes(_LOWER[data] if lower else data, starts, ends)

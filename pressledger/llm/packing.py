@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from pressledger.llm.common import row_chunks, utf8, word_hashes
+from pressledger.llm.common import quick_pieces, row_chunks, utf8, word_hashes
 from pressledger.llm.pretokens import StretchIds
 
 DIMS, BITS = 4, 8
@@ -58,7 +58,7 @@ def hilbert_index(points: np.ndarray, bits: int = BITS) -> np.ndarray:
 def curve_keys(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Curve position of every text of a chunk."""
     n = len(offsets) - 1
-    rows, words = word_hashes(data, offsets)
+    rows, words = word_hashes(data, offsets, hashes=quick_pieces)
     cell = rows << _WIDTH_BITS | (words >> np.uint64(64 - _WIDTH_BITS)).astype(np.int64)
     sign = np.where(words & np.uint64(1), 1.0, -1.0)
     # Without a word at all numpy counts in whole numbers.

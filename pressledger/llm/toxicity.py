@@ -27,7 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from pressledger.llm.common import _LOWER, checkpointed, is_held_out, mix64, pieces, row_chunks, utf8
+from pressledger.llm.common import _LOWER, ByteHashes, checkpointed, is_held_out, mix64, pieces, row_chunks, utf8
 from pressledger.llm.neardup import shingle_sets
 
 POSITIVES, NEGATIVES = 8_192, 16_384
@@ -80,17 +80,17 @@ def features(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.nd
     if not len(data):
         return
     rows, starts, ends = _tokens(data, offsets, _WORD)
-    lower = _LOWER[data]
-    yield 0, rows, pieces(lower, starts, ends) ^ _SALT[0]
+    hashes = ByteHashes(_LOWER[data])
+    yield 0, rows, hashes.of(starts, ends) ^ _SALT[0]
     for kind, n in enumerate(PREFIXES, 1):
         long = ends - starts > n
-        yield kind, rows[long], pieces(lower, starts[long], starts[long] + n) ^ _SALT[kind]
+        yield kind, rows[long], hashes.of(starts[long], starts[long] + n) ^ _SALT[kind]
     lead = (data >= 0xE0) & (data < 0xF0)
     at = np.flatnonzero(lead[:-5] & lead[3:-2]) if len(data) > 5 else np.zeros(0, dtype=np.int64)
     row = np.searchsorted(offsets, at, side="right") - 1
     inside = at + 6 <= offsets[row + 1]
     at, row = at[inside], row[inside]
-    yield CHARACTERS, row, pieces(data, at, at + 6) ^ _SALT[CHARACTERS]
+    yield CHARACTERS, row, hashes.of(at, at + 6) ^ _SALT[CHARACTERS]
 
 
 def _hashes(words: tuple[str, ...]) -> np.ndarray:
