@@ -3,7 +3,8 @@
 The words of a text are hashed into a signed vector, projected to four dimensions by fixed random directions, and
 placed on a Hilbert curve. Documents are range-sorted by curve position, so neighbours share words; copies lie
 at one position, and ties are spread by a hash of id and text, so a large group of copies covers several ranges.
-Every range becomes one stream of tokens, cut at each sequence's end. What remains of a range, less than a sequence, is
+Every range becomes one stream of tokens, cut at each sequence's end; there are as many ranges as the texts have pieces
+of 16 MB, at most 65,536 (larger ranges are streamed and sorted on disk, never held). What remains of a range, less than a sequence, is
 cut into sequences whose lengths are powers of two: nothing is padded.
 
 Contract. ``pack_documents`` returns one row per piece: ``doc_id, start, length, ids`` (little-endian unsigned 32-bit),
@@ -25,6 +26,8 @@ DIMS, BITS = 4, 8
 _WIDTH_BITS = 8
 _DIRECTIONS = np.random.default_rng(20).normal(size=(1 << _WIDTH_BITS, DIMS)) / 16
 PIECES_AT_ONCE = 2048
+#: Bytes of text in a range, and the most ranges: beyond them a shuffle's own book-keeping outweighs its data.
+RANGE_BYTES, MAX_RANGES = 16 << 20, 1 << 16
 
 
 def hilbert_index(points: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -131,14 +134,19 @@ def _packer(path: str, end_id: int, length: int):
     return pack
 
 
+def range_count(docs: DataFrame) -> int:
+    """Ranges for the texts of ``docs``, by their bytes."""
+    total = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    return max(1, min(MAX_RANGES, -(-total // RANGE_BYTES)))
+
+
 def pack_documents(docs: DataFrame, path: str, end_id: int = 0, length: int = 1024) -> DataFrame:
     """One row per piece of a document; path: a byte-level tokenizer file; see the module's contract."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("doc_id", "text"))
     keyed = rows.mapInArrow(_keyed, "key long, doc_id long, text string, tie long")
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ("key", "tie", "doc_id")
-    ordered = keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    ordered = keyed.repartitionByRange(range_count(rows), *order).sortWithinPartitions(*order)
     return ordered.select("doc_id", "text").mapInArrow(
         _packer(path, end_id, length),
         "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long",

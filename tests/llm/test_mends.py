@@ -163,3 +163,16 @@ def test_vectors_are_not_dealt_by_their_length_alone(spark):
     df = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in range(100)], "vec_id long, embedding array<double>")
     plan = topk.top_inner_products(df, df.where("vec_id % 50 = 0"))._jdf.queryExecution().toString()
     assert not re.search(r"hashpartitioning\(dim#\d+, \d+", plan) and "SinglePartition" not in plan
+
+
+def test_packing_ranges_follow_the_bytes(spark, monkeypatch):
+    docs = spark.range(300).selectExpr("id AS doc_id", "repeat(concat('word', id % 7, ' '), 50) AS text")
+    assert packing.range_count(docs) == 1
+    assert packing.range_count(docs.where("doc_id < 0")) == 1
+    monkeypatch.setattr(packing, "RANGE_BYTES", 9_000)
+    assert packing.range_count(docs) == 10
+    pieces = packing.pack_documents(docs, vocabulary())
+    ends = pieces.groupBy("doc_id", "doc_tokens").agg(F.sum("length").alias("n"), F.count_distinct("start").alias("starts"), F.count("*").alias("pieces"))
+    assert ends.where("n = doc_tokens AND starts = pieces").count() == 300
+    monkeypatch.setattr(packing, "MAX_RANGES", 4)
+    assert packing.range_count(docs) == 4
