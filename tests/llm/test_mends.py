@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pressledger.llm import common, mixing, neardup, packing, secrets, topk, toxicity
+from pressledger.llm import common, mixing, neardup, packing, pii, secrets, topk, toxicity
 from pressledger.llm.pretokens import vocabulary
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -176,3 +176,20 @@ def test_packing_ranges_follow_the_bytes(spark, monkeypatch):
     assert ends.where("n = doc_tokens AND starts = pieces").count() == 300
     monkeypatch.setattr(packing, "MAX_RANGES", 4)
     assert packing.range_count(docs) == 4
+
+
+def test_words_against_are_weighed_and_do_not_decide(spark):
+    rows = [(i, f"mail a{i}@b.example, card 4111 1111 1111 1111 and +1 (555) 010-00{i % 10}{i // 10}, on page 1{i:02d}-22{i:02d}0 or item 2{i:02d} 5{i:02d} 0{i:02d}") for i in range(60)]
+    rows += [(100, "call no +49 (30) 5555-3296 4111111111111111 now"), (101, "see isbn 978-316-1484, year 123-456-7890"), (102, "call +999 (30) 555-32 now")]
+    spans = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert spans[100] == [("number", 8, 26), ("number", 27, 43)]
+    assert spans[101] == []
+    assert all([k for k, *_ in spans[i]] == ["email", "card", "phone"] for i in range(60))
+
+
+def test_calling_codes_have_national_lengths(spark):
+    rows = [(1, "phone", "+15550100022"), (2, "phone", "+1555010002"), (3, "phone", "+493055553296"), (4, "phone", "+35315550100"), (5, "phone", "+21055501000")]
+    spans = spark.createDataFrame([(i, i, k, 0, len(s), s, "", "") for i, k, s in rows], "row long, doc_id long, kind string, start int, end int, span string, before string, after string")
+    votes = {r.doc_id: r.v_gazetteer for r in pii.judged(spans).collect()}
+    assert votes == {1: 1, 2: -1, 3: 1, 4: 1, 5: 1}
+    assert all(re.search(f"^(?:{zone})$", code) for code, (zone, *_) in zip(("1", "49", "353"), pii.CALLING, strict=True))
