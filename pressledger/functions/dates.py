@@ -30,6 +30,17 @@ _SHAPES = (
     (f"(?iu)^{_FULL}{WS}+{_D},{WS}+{_Y}$", 3, 1, 2),
 )
 
+FORMATS = ("ISO", "MONTH_DAY_YEAR", "DAY_MONTH_YEAR", "DAY_MONTH_NAME", "MONTH_NAME_DAY")  # of the shapes, in order
+
+
+def date_format_name(c: Column) -> Column:
+    """Which of the supported shapes a date text has, whether or not there is such a day: one of FORMATS, BLANK or OTHER."""
+    text = clean_optional(c)
+    case = F.when(F.lower(F.coalesce(text, F.lit(""))).isin(list(rules.MISSING_MARKERS)), "BLANK")
+    for (pattern, *_), name in zip(_SHAPES, FORMATS, strict=True):
+        case = case.when(text.rlike(pattern), name)
+    return case.otherwise("OTHER")
+
 
 def _month_number(name: Column) -> Column:
     """Number of a month name, by its first three letters."""

@@ -99,6 +99,14 @@ EXPORT_TAG = "AI_ML"
 EXPORT_YEARS = (2022, 2024)
 EXPORT_MIN_USD = 50_000_000
 
+# Rates of a run: WARN below the first, FAIL below the second, FAIL if it falls by more than the third (None: by any).
+QUALITY_THRESHOLDS = {
+    "match_rate": (0.8, 0.0, None),
+    "arr_parse_rate": (0.5, 0.0, None),
+    "date_parse_rate": (0.5, 0.0, None),
+    "category_mapped_rate": (0.5, 0.0, None),
+}
+
 VOCABULARY_SIZE = 384
 NEIGHBOURS = 3
 

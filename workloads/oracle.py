@@ -4,7 +4,7 @@ For the order-based inputs the SQL starts from the case numbers and never parses
 """
 
 from pressledger import rules
-from workloads.queries import EXPORT_YEARS, HYBRID, SEARCH_TEXT, TOP_K
+from workloads.queries import EXPORT_YEARS, HYBRID, SEARCH_TEXT, THRESHOLDS, TOP_K
 
 
 def _quoted(values) -> str:
@@ -294,7 +294,46 @@ _ARTICLE_TEXT = f"""SELECT CAST(doc_id AS VARCHAR) AS article_id, {_EDGE_SPACE.f
         {_EDGE_SPACE.format(x="CASE WHEN instr(text, chr(10)) > 0 THEN substr(text, instr(text, chr(10)) + 1) ELSE '' END")} AS b
         FROM documents)"""
 
+_RATE_STATUS = " ".join(
+    f"WHEN metric = '{m}' AND hits < {fail} * base THEN 'FAIL' WHEN metric = '{m}' AND hits < {warn} * base THEN 'WARN'"
+    for m, (warn, fail, _) in THRESHOLDS.items()
+)
+_FORMAT = "['ISO', 'ISO', 'MONTH_DAY_YEAR', 'DAY_MONTH_YEAR', 'DAY_MONTH_NAME', 'MONTH_NAME_DAY', 'BLANK', 'MONTH_DAY_YEAR', 'ISO'][v + 1]"
+_QUALITY_METRICS = f"""{_WITH}, r AS (
+  SELECT 'match_rate' AS metric, '' AS part, count(*) FILTER (in_master) AS hits, count(*) AS base FROM t
+  UNION ALL SELECT 'arr_parse_rate', '', count(*) FILTER (arr_parse_status = 'PARSED'), count(*) FILTER (c NOT IN (9, 10, 11)) FROM t
+  UNION ALL SELECT 'date_parse_rate', '', count(*) FILTER (v < 6), count(*) FROM t
+  UNION ALL SELECT 'date_parse_rate', {_FORMAT}, count(*) FILTER (v < 6), count(*) FROM t GROUP BY 2
+  UNION ALL SELECT 'category_mapped_rate', '', count(*) FILTER (ok % 21 < 19), count(*) FROM t
+  UNION ALL SELECT 'match_share', company_match_method, count(*), (SELECT count(*) FROM t) FROM t GROUP BY 2
+  UNION ALL SELECT 'arr_share', arr_parse_status, count(*), (SELECT count(*) FROM t) FROM t GROUP BY 2
+)
+SELECT source_file, metric, part, hits, base, round(hits / base, 9) AS rate,
+       CASE WHEN part <> '' THEN 'OK' {_RATE_STATUS} ELSE 'OK' END AS status
+FROM r, (VALUES ('orders'), (NULL)) files(source_file)"""
+
+_URL_SCHEME = "^[A-Za-z][A-Za-z0-9+.-]*://"
+_DUPLICATE_URLS = f"""WITH p AS (
+  SELECT page_id, 0 AS turn, url FROM pages UNION ALL SELECT page_id, 1, url FROM pages WHERE page_id % 3 = 0
+  UNION ALL SELECT page_id, 2, url FROM pages WHERE page_id % 12 = 0
+),
+s AS (SELECT page_id, turn, split_part(url, '#', 1) AS u FROM p),
+k AS (
+  SELECT page_id, turn, regexp_replace(lower(regexp_extract(u, '{_URL_SCHEME}([^/?]*)', 1)), ':(80|443)$', '') AS host,
+    regexp_replace(regexp_extract(u, '{_URL_SCHEME}[^/?]*([^?]*)', 1), '/+$', '') AS path,
+    array_to_string(list_sort(list_filter(string_split(regexp_extract(u, '[?](.*)$', 1), '&'),
+      lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|gclid|fbclid)='))), '&') AS asked FROM s
+),
+c AS (SELECT page_id * 4 + turn AS n, 'P' || page_id || '-' || turn AS article_id, host || path || CASE WHEN asked <> '' THEN '?' || asked ELSE '' END AS url_canonical FROM k),
+g AS (SELECT *, min(n) OVER (PARTITION BY url_canonical) AS first_row_number, count(*) OVER (PARTITION BY url_canonical) AS copies FROM c)
+SELECT article_id, url_canonical, first_row_number, copies FROM g WHERE n > first_row_number"""
+
 ORACLE = {
+    "quality_metrics": _QUALITY_METRICS,
+    "duplicate_urls": _DUPLICATE_URLS,
+    "csv_unknown_columns": _WITH + """SELECT article_id, CASE ok % 3 WHEN 0 THEN '{}' WHEN 1 THEN '{"desk":"' || o_orderpriority || '"}'
+        ELSE '{"desk":"' || o_orderpriority || '"' || CASE WHEN word_count_raw = 'unknown' THEN '' ELSE ',"region":"r' || word_count_raw || '"' END || '}' END
+        AS attributes FROM t""",
     "parse_arr": _WITH + """SELECT article_id, arr_usd, source_currency, lower_bound_source, upper_bound_source,
         arr_parse_status, arr_parse_reason FROM t""",
     "parse_published_date": _WITH + """SELECT article_id, CAST(pub AS VARCHAR) AS published_date,

@@ -14,6 +14,8 @@ from pressledger.functions.taxonomy import (
 )
 from pressledger.functions.text import article_text
 from pressledger.operators import search, similarity, tfidf, validate
+from pressledger.operators.metrics import quality_metrics
+from pressledger.operators.urls import duplicate_urls
 from pressledger.operators.vector_cache import cached_vectors
 from pressledger.operators.fuzzy import fuzzy_suggest
 from pressledger.operators.joins import lookup_join
@@ -24,7 +26,7 @@ from pressledger.plans.incremental import read_store, update_store
 from pressledger.plans.run import run
 from pressledger.schemas import ARTICLE_COLUMNS
 from pressledger.session import checkpointed, shared_folder
-from pressledger.sources.articles import read_csv
+from pressledger.sources.articles import read_csv, unknown_columns
 from pressledger.sources.published import read_current, search_published
 from workloads import testdata as td
 
@@ -39,6 +41,7 @@ HYBRID = {
     "min_arr_usd": 50_000_000,
 }
 TOP_K = 25
+THRESHOLDS = {"match_rate": (0.95, 0.5, None), "arr_parse_rate": (0.5, 0.2, None), "date_parse_rate": (0.9, 0.8, None), "category_mapped_rate": (0.5, 0.0, None)}
 
 
 def _text(df: DataFrame, *dates: str) -> DataFrame:
@@ -119,6 +122,19 @@ def q_csv_articles(spark, sf):
     return back.select("article_id", record_hash(*[F.col(c) for c in ARTICLE_COLUMNS]).alias("source_record_hash"))
 
 
+def q_csv_unknown_columns(spark, sf):
+    """Columns that only some files have, after a round trip through files of three headers."""
+    base = _run_folder(spark)
+    order = F.col("source_row_number") - 2
+    rows = td.orders_articles(spark, sf).withColumns({
+        "desk": F.col("summary"), "region": F.when(F.col("word_count") == "unknown", "").otherwise(F.concat(F.lit("r"), "word_count")),
+    })
+    for third, columns in enumerate((ARTICLE_COLUMNS, [*ARTICLE_COLUMNS, "desk"], ["region", *ARTICLE_COLUMNS, "desk"])):
+        rows.where(order % 3 == third).select(*columns).write.option("header", True).option("escape", '"').csv(f"{base}/{third}")
+    back = read_csv(spark, f"{base}/*")
+    return back.select("article_id", F.to_json(unknown_columns(back)).alias("attributes"))
+
+
 # --- identity ---
 
 def _prepared(spark, sf):
@@ -241,6 +257,25 @@ def q_quality_issues(spark, sf):
     return issues.drop("created_at")
 
 
+def q_quality_metrics(spark, sf):
+    """Rates of all articles, with thresholds that one rate passes, one warns of and one fails."""
+    return quality_metrics(_fact(spark, sf), THRESHOLDS).withColumn("rate", F.round("rate", 9)).drop("previous_rate")
+
+
+def q_duplicate_urls(spark, sf):
+    """Pages as articles, some crawled again under other spellings of their address."""
+    pages = spark.read.parquet(f"{sf}/pages.parquet").selectExpr("page_id", "url", "split(url, '#')[0] AS bare")
+    again = pages.where("page_id % 3 = 0").selectExpr(
+        "page_id", "1 AS turn", "concat(regexp_replace(bare, '^https?://', 'HTTP://'), if(instr(bare, '?') > 0, '&', '?'), 'utm_source=feed#again') AS url"
+    )
+    thrice = pages.where("page_id % 12 = 0").selectExpr(
+        "page_id", "2 AS turn", "concat(' https://', upper(regexp_extract(bare, '^https?://([^/?]*)', 1)), ':443', regexp_extract(bare, '^https?://[^/?]*(.*)$', 1), ' ') AS url"
+    )
+    crawled = pages.selectExpr("page_id", "0 AS turn", "url").unionByName(again).unionByName(thrice)
+    articles = crawled.selectExpr("concat('P', page_id, '-', turn) AS article_id", "url", "bigint(page_id * 4 + turn) AS source_row_number")
+    return duplicate_urls(articles).drop("url")
+
+
 # --- text, vectors, search ---
 
 def _documents(spark, sf):
