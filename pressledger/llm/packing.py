@@ -4,7 +4,7 @@ The words of a text are hashed into a signed vector, projected to four dimension
 placed on a Hilbert curve. Documents are range-sorted by curve position, so neighbours share words; copies lie
 at one position, and ties are spread by a hash of id and text, so a large group of copies covers several ranges.
 Every range becomes one stream of tokens, cut at each sequence's end; there are as many ranges as the texts have pieces
-of 16 MB, at most 65,536 (larger ranges are streamed and sorted on disk, never held). What remains of a range, less than a sequence, is
+of 32 MB, at most 65,536 (larger ranges are streamed and sorted on disk, never held). What remains of a range, less than a sequence, is
 cut into sequences whose lengths are powers of two: nothing is padded.
 
 Contract. ``pack_documents`` returns one row per piece: ``doc_id, start, length, ids`` (little-endian unsigned 32-bit),
@@ -27,7 +27,7 @@ _WIDTH_BITS = 8
 _DIRECTIONS = np.random.default_rng(20).normal(size=(1 << _WIDTH_BITS, DIMS)) / 16
 PIECES_AT_ONCE = 2048
 #: Bytes of text in a range, and the most ranges: beyond them a shuffle's own book-keeping outweighs its data.
-RANGE_BYTES, MAX_RANGES = 16 << 20, 1 << 16
+RANGE_BYTES, MAX_RANGES = 32 << 20, 1 << 16
 
 
 def hilbert_index(points: np.ndarray, bits: int = BITS) -> np.ndarray:
