@@ -18,7 +18,7 @@ BLANK = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Text bytes worked on at once in a task; a longer document is a chunk by itself.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
