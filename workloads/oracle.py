@@ -312,6 +312,14 @@ SELECT source_file, metric, part, hits, base, round(hits / base, 9) AS rate,
        CASE WHEN part <> '' THEN 'OK' {_RATE_STATUS} ELSE 'OK' END AS status
 FROM r, (VALUES ('orders'), (NULL)) files(source_file)"""
 
+_PUBLISHED_ROWS = f"""SELECT 'dim_company' AS table_name, count(*) AS row_count FROM dim
+        UNION ALL SELECT 'fact_article', count(*) FROM t
+        UNION ALL SELECT 'fact_arr_observation', count(*) FROM t WHERE arr_parse_status = 'PARSED'
+        UNION ALL SELECT 'data_quality_issue', count(*) FROM raised
+        UNION ALL SELECT 'bridge_article_similarity', count(*) * {rules.NEIGHBOURS} FROM t
+        UNION ALL SELECT 'ai_articles_enriched', count(*) FROM t WHERE {_EXPORT_WHERE}
+        UNION ALL SELECT 'article_embedding', count(*) FROM t"""
+
 _URL_SCHEME = "^[A-Za-z][A-Za-z0-9+.-]*://"
 _DUPLICATE_URLS = f"""WITH p AS (
   SELECT page_id, 0 AS turn, url FROM pages UNION ALL SELECT page_id, 1, url FROM pages WHERE page_id % 3 = 0
@@ -442,13 +450,33 @@ SELECT CAST(s AS VARCHAR) AS source_article_id, CAST(m AS VARCHAR) AS similar_ar
           WHERE k % 60 IN (7, 8) AND k % 90 <> 0""",
     "input_fingerprint": "SELECT count(*) AS row_count, 1 AS same FROM orders",
     "publish_roundtrip": f"""{_WITH}, {_DIM_ROWS}, {_ISSUE_ROWS}
-        SELECT 'dim_company' AS table_name, count(*) AS row_count FROM dim
-        UNION ALL SELECT 'fact_article', count(*) FROM t
-        UNION ALL SELECT 'fact_arr_observation', count(*) FROM t WHERE arr_parse_status = 'PARSED'
-        UNION ALL SELECT 'data_quality_issue', count(*) FROM raised
-        UNION ALL SELECT 'bridge_article_similarity', count(*) * {rules.NEIGHBOURS} FROM t
-        UNION ALL SELECT 'ai_articles_enriched', count(*) FROM t WHERE {_EXPORT_WHERE}
-        UNION ALL SELECT 'article_embedding', count(*) FROM t""",
+        {_PUBLISHED_ROWS}""",
+    "run_metrics": f"""{_WITH}, {_DIM_ROWS}, {_ISSUE_ROWS}
+        SELECT *, 'SUCCEEDED' AS status, CAST(NULL AS VARCHAR) AS message FROM ({_PUBLISHED_ROWS}
+          UNION ALL SELECT 'quality_metric', (SELECT count(*) FROM ({_QUALITY_METRICS}))
+          UNION ALL SELECT unnest(['input_articles', 'input_lineage', 'input_vectors']), (SELECT count(*) FROM t)
+          UNION ALL SELECT 'input_company_master', count(*) FROM customer WHERE c_custkey % 10 <> 9
+          UNION ALL SELECT 'input_aliases', count(*) FROM customer
+          UNION ALL SELECT 'input_ambiguous', count(*) FROM customer WHERE c_custkey % 50 = 9)
+        UNION ALL SELECT 'run', NULL, 'FAILED', 'ContractError: article input is missing columns: revenue'""",
+    "csv_mirror": f"""{_WITH}, {_ARR_ROWS} SELECT article_id, company_id, CAST(observation_date AS VARCHAR) AS observation_date,
+        CAST(observation_quarter AS VARCHAR) AS observation_quarter, CAST(arr_usd AS VARCHAR) AS arr_usd, revenue_raw, source_currency FROM a""",
+    "catalog_views": f"""{_WITH}, {_ARR_ROWS}, {_DIM_ROWS}, dated AS (SELECT * FROM a WHERE observation_status = 'DATED'), l AS (
+          SELECT company_id, observation_date, arr_usd FROM dated
+          QUALIFY row_number() OVER (PARTITION BY company_id ORDER BY observation_date DESC, article_id DESC) = 1
+        ), q AS (
+          SELECT company_id, count(DISTINCT observation_year * 4 + observation_quarter) AS quarters, max(arr_usd) AS most_reported FROM dated GROUP BY 1
+        )
+        SELECT company_name, CAST(observation_date AS VARCHAR) AS observation_date, arr_usd, quarters, most_reported
+        FROM l JOIN dim USING (company_id) JOIN q USING (company_id)""",
+    "csv_lineage": _WITH + " SELECT article_id, row_number() OVER (ORDER BY ok % 4, ok) + 1 AS source_row_number, TRUE AS named FROM t",
+    "json_master": f"""SELECT c_name AS company_name, CAST(1980 + c_custkey % 25 AS INTEGER) AS founded_year, c_mktsegment AS headquarters,
+        CAST({_EMPLOYEES.format(x="c_custkey")} AS INTEGER) AS employee_count, {_INDUSTRY_LABEL.format(x="c_custkey")} AS industry,
+        c_custkey % 2 = 0 AS is_public, {_TICKER.format(x="c_custkey")} AS stock_ticker,
+        '[' || concat_ws(',', CASE WHEN c_custkey % 8 = 5 THEN '"employee_count"' END, CASE WHEN c_custkey % 3 = 2 THEN '"stock_ticker"' END)
+          || ']' AS missing_fields FROM customer WHERE c_custkey % 10 <> 9""",
+    "postings_search": _search(),
+    "postings_hybrid": _search(_HYBRID_WHERE),
     # Published vectors are single precision.
     "published_search": "SELECT article_id, similarity_score, title FROM ("
         + _search().replace("sum(w.weight * q.weight)", "sum(CAST(CAST(w.weight AS FLOAT) AS DOUBLE) * q.weight)") + ")",

@@ -15,6 +15,7 @@ from pressledger.functions.taxonomy import (
 from pressledger.functions.text import article_text
 from pressledger.operators import search, similarity, tfidf, validate
 from pressledger.operators.metrics import quality_metrics
+from pressledger.operators.postings import build_postings, postings_search, read_postings
 from pressledger.operators.urls import duplicate_urls
 from pressledger.operators.vector_cache import cached_vectors
 from pressledger.operators.fuzzy import fuzzy_suggest
@@ -23,11 +24,13 @@ from pressledger.operators.matching import distinct_names, master_points, normal
 from pressledger.operators.quality import quality_issues
 from pressledger.plans import model
 from pressledger.plans.incremental import read_store, update_store
+from pressledger.plans.publish import write_table
 from pressledger.plans.run import run
-from pressledger.schemas import ARTICLE_COLUMNS
+from pressledger.schemas import ARTICLE_COLUMNS, MASTER_FIELDS
 from pressledger.session import checkpointed, shared_folder
 from pressledger.sources.articles import read_csv, unknown_columns
-from pressledger.sources.published import read_current, search_published
+from pressledger.sources.master import read_json_object
+from pressledger.sources.published import read_current, read_metrics, search_published
 from workloads import testdata as td
 
 RUN_ID = "run"
@@ -135,6 +138,28 @@ def q_csv_unknown_columns(spark, sf):
     return back.select("article_id", F.to_json(unknown_columns(back)).alias("attributes"))
 
 
+def q_csv_lineage(spark, sf):
+    """Row ordinals over files in path order, and file names, after a round trip through sorted CSV files in four folders."""
+    base = _run_folder(spark)
+    rows = td.orders_articles(spark, sf)
+    for part in range(4):
+        own = rows.where((F.col("source_row_number") - 2) % 4 == part).orderBy("article_id").select(*ARTICLE_COLUMNS)
+        own.write.option("header", True).option("escape", '"').csv(f"{base}/{part}")
+    back = read_csv(spark, f"{base}/*")
+    return back.select("article_id", "source_row_number", F.col("source_file").rlike(r"^part-\d{5}-.*\.csv$").alias("named"))
+
+
+def q_json_master(spark, sf):
+    """Company master data after a round trip through files of one JSON object each, of 500 customers."""
+    base = _run_folder(spark)
+    entry = F.struct("company_name", F.struct(*MASTER_FIELDS))
+    objects = td.customer_master(spark, sf).groupBy(F.floor(F.col("master_order") / 500).alias("part")).agg(
+        F.to_json(F.map_from_entries(F.collect_list(entry))).alias("value")
+    )
+    objects.write.partitionBy("part").text(base)
+    return read_json_object(spark, base).select("company_name", *MASTER_FIELDS, F.to_json("missing_fields").alias("missing_fields"))
+
+
 # --- identity ---
 
 def _prepared(spark, sf):
@@ -319,12 +344,37 @@ def q_hybrid_search(spark, sf):
     return _text(search.hybrid_search(articles, fitted, SEARCH_TEXT, TOP_K, **HYBRID), "published_date")
 
 
+def _searched(spark, sf, **filters):
+    docs, fitted = _search_articles(spark, sf)
+    docs, base = checkpointed(docs), _run_folder(spark)
+    write_table(build_postings(docs.withColumn("position", F.col("source_row_number")), block=64), base, "term_posting")
+    found = postings_search(read_postings(spark, f"{base}/term_posting"), docs, fitted, SEARCH_TEXT, TOP_K, **filters)
+    return _text(found, "published_date")
+
+
+def q_postings_search(spark, sf):
+    """The rows of ``semantic_search``, from postings."""
+    return _searched(spark, sf)
+
+
+def q_postings_hybrid(spark, sf):
+    """The rows of ``hybrid_search``, from postings."""
+    return _searched(spark, sf, **HYBRID)
+
+
 def q_similar_documents(spark, sf):
     docs = _documents(spark, sf).select("article_id", F.col("source_row_number").alias("position"), "text")
     vectors = tfidf.fit_tfidf(docs, "text").transform(docs, "text").drop("text")
     return similarity.similarity_bridge(similarity.similar_list(checkpointed(vectors)))
 
 
+def q_similar_documents_approx(spark, sf):
+    """Approximate neighbours: the zones of 16 pivots, of one pivot per 64 distinct vectors."""
+    docs = _documents(spark, sf).select("article_id", F.col("source_row_number").alias("position"), "text")
+    vectors = checkpointed(tfidf.fit_tfidf(docs, "text").transform(docs, "text").drop("text"))
+    return similarity.similarity_bridge(similarity.similar_list(vectors, block_rows=64, probes=16))
+
+
 def q_similar_topn(spark, sf):
     return similarity.similarity_bridge(similarity.similar_list(td.embedding_vectors(spark, sf)))
 
@@ -422,6 +472,39 @@ def q_publish_roundtrip(spark, sf):
     return validate.row_counts(read_current(spark, base))
 
 
+def q_run_metrics(spark, sf):
+    """Metrics of a whole run with ready-made vectors, and of one after it whose input has no revenue."""
+    base = _run_folder(spark)
+    articles, master = td.orders_articles(spark, sf), td.customer_master(spark, sf)
+    angle = F.col("source_row_number") % 97
+    vectors = articles.select("article_id", F.array(F.cos(angle), F.sin(angle)).cast("array<float>").alias("embedding"))
+    names = {"aliases": td.customer_aliases(spark, sf), "ambiguous": td.customer_ambiguous(spark, sf)}
+    run(spark, articles, master, base, vectors=vectors, export={"years": EXPORT_YEARS}, **names)
+    try:
+        run(spark, articles.drop("revenue"), master, base, **names)
+    except validate.ContractError:
+        pass  # what it leaves in the metrics is part of the result
+    return read_metrics(spark, base).select("table_name", "row_count", "status", "message")
+
+
+def q_csv_mirror(spark, sf):
+    """Observations read back from the CSV mirror of their table."""
+    base = _run_folder(spark)
+    write_table(_arr(spark, sf), base, "fact_arr_observation", formats=("parquet", "csv"))
+    back = spark.read.option("header", True).option("escape", '"').csv(f"{base}/csv/fact_arr_observation")
+    return back.select("article_id", "company_id", "observation_date", "observation_quarter", "arr_usd", "revenue_raw", "source_currency")
+
+
+def q_catalog_views(spark, sf):
+    """SQL over the registered tables and views: the newest amount of each company beside its quarters."""
+    model.register_catalog({"dim_company": checkpointed(_dim(spark, sf)), "fact_arr_observation": checkpointed(_arr(spark, sf))})
+    return spark.sql("""
+        SELECT company_name, string(observation_date) AS observation_date, arr_usd, quarters, most_reported
+        FROM latest_company_arr JOIN dim_company USING (company_id) JOIN (
+          SELECT company_id, count(*) AS quarters, max(max_reported_arr_usd) AS most_reported FROM company_arr_by_quarter GROUP BY company_id
+        ) USING (company_id)""")
+
+
 def q_published_search(spark, sf):
     """A whole run over documents as articles; then a new session searches what was published, with the stored text model."""
     base = _run_folder(spark)
