@@ -1,5 +1,7 @@
 """Expected results of the registered queries as DuckDB SQL, written from their contracts."""
 
+from pressledger.llm import quality
+
 OP3 = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
@@ -113,4 +115,91 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 """
 
-ORACLE = {"op2_exact_topk": OP2, "op3_mixing": OP3, "op11_manifest": OP11, "op13_exact_dedup": OP13}
+OP8 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents
+), s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                                    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+  FROM w
+), e AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM s
+), l AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), r AS (
+  SELECT doc_id, doc_id AS c FROM documents UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.doc_id
+), c AS (
+  SELECT doc_id, min(c) AS component_id FROM r GROUP BY doc_id
+)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN c USING (doc_id)
+"""
+
+_JENSEN_SHANNON = """sqrt(greatest(list_sum(list_transform(range(1, len({p}) + 1), lambda i:
+      CASE WHEN {p}[i] > 0 THEN {p}[i] * log2(2 * {p}[i] / ({p}[i] + {q}[i])) ELSE 0 END
+      + CASE WHEN {q}[i] > 0 THEN {q}[i] * log2(2 * {q}[i] / ({p}[i] + {q}[i])) ELSE 0 END)) / 2, 0))"""
+
+# Counts, limits and bins are those of the operator's docstring and parameters; repeated windows are compared as texts.
+OP4 = r"""
+WITH d AS (
+  SELECT doc_id, lang, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+), g AS (
+  SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS x FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)
+), twice AS (
+  SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, x) > 1
+), covered AS (
+  SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS j FROM twice) GROUP BY doc_id
+), m AS (
+  SELECT d.doc_id, lang, w, len(w) AS n_words, length(t) AS n_chars, len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
+         len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+         [len(regexp_extract_all(t, '[\x20\x09-\x0D]')), len(regexp_extract_all(t, '[#*$%&|<>]')),
+          len(regexp_extract_all(t, '[!\x22''()+,./:;=?@\[\\\]^_`{{}}~-]')), len(regexp_extract_all(t, '[A-Z]')),
+          len(regexp_extract_all(t, '[0-9]')), len(regexp_extract_all(t, '[^\x00-\x7F]'))] AS k
+  FROM d LEFT JOIN covered ON d.doc_id = covered.doc_id
+), b AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m
+), ranked AS (
+  SELECT lang, word, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, word) AS place
+  FROM (SELECT lang, unnest(regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+')) AS word FROM documents WHERE lang IS NOT NULL)
+  WHERE length(word) <= {short} GROUP BY lang, word QUALIFY place <= {b3}
+), written AS (
+  SELECT lang, CASE WHEN place <= {b0} THEN 1 WHEN place <= {b1} THEN 2 WHEN place <= {b2} THEN 3 ELSE 4 END AS bin,
+         unnest(list_distinct([word, upper(word), upper(word[1]) || word[2:]])) AS x
+  FROM ranked
+), hits AS (
+  SELECT doc_id, lang, [count(*) FILTER (bin = 1), count(*) FILTER (bin = 2), count(*) FILTER (bin = 3), count(*) FILTER (bin = 4)] AS h
+  FROM (SELECT doc_id, unnest(w) AS x FROM d) JOIN written USING (x) GROUP BY doc_id, lang
+), pairs AS (
+  SELECT b.*, l.lang AS other, coalesce(h, [0, 0, 0, 0]) AS h
+  FROM b, (SELECT DISTINCT lang FROM ranked) l LEFT JOIN hits ON hits.doc_id = b.doc_id AND hits.lang = l.lang
+), refs AS (
+  SELECT other, list_transform([sum(k[1]), sum(k[2]), sum(k[3]), sum(k[4]), sum(k[5]), sum(k[6])], lambda x: x / sum(n_chars)) AS chars,
+         list_transform([sum(h[1]), sum(h[2]), sum(h[3]), sum(h[4])], lambda x: x / sum(n_words)) AS words
+  FROM pairs WHERE lang = other AND NOT base_failed GROUP BY other HAVING sum(n_chars) > 0 AND sum(n_words) > 0
+), shares AS (
+  SELECT doc_id, list_transform(list_append(k, greatest(n_chars - list_sum(k), 0)), lambda x: x / greatest(n_chars, 1)::DOUBLE) AS pc,
+         list_transform(list_append(h, greatest(n_words - list_sum(h), 0)), lambda x: x / greatest(n_words, 1)::DOUBLE) AS pw,
+         list_append(chars, greatest(0.0, 1 - list_sum(chars))) AS qc, list_append(words, greatest(0.0, 1 - list_sum(words))) AS qw
+  FROM pairs JOIN refs USING (other)
+), apart AS (
+  SELECT doc_id, {c} AS chars, {w} AS words FROM shares
+), best AS (
+  SELECT doc_id, min(row(chars + words, chars, words)) AS r FROM apart GROUP BY doc_id
+)
+SELECT b.doc_id, n_words::BIGINT AS n_words, (n_chars - k[1])::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+       n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
+       NOT base_failed AND coalesce(n_chars < {least_chars} OR r[2] <= {char_limit}, TRUE)
+         AND coalesce(n_words < {least_words} OR r[3] <= {word_limit} + {scatter} / sqrt(greatest(n_words, 1)), TRUE) AS kept
+FROM b LEFT JOIN best USING (doc_id)
+""".format(
+    short=quality.SHORT, b0=quality.BINS[0], b1=quality.BINS[1], b2=quality.BINS[2], b3=quality.BINS[3], least_chars=quality.LEAST_CHARS,
+    least_words=quality.LEAST_WORDS, char_limit=quality.CHAR_LIMIT, word_limit=quality.WORD_LIMIT, scatter=quality.WORD_SCATTER,
+    c=_JENSEN_SHANNON.format(p="pc", q="qc"), w=_JENSEN_SHANNON.format(p="pw", q="qw"),
+)
+
+ORACLE = {
+    "op2_exact_topk": OP2, "op3_mixing": OP3, "op4_quality": OP4, "op8_near_duplicates": OP8, "op11_manifest": OP11, "op13_exact_dedup": OP13,
+}
