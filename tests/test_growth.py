@@ -43,3 +43,34 @@ def test_vectors_are_hashed_once_and_not_sorted(spark, monkeypatch):
     assert seen == [["article_id", "position", "vector_key"], ["vector_key", "members"]]
     keys = vectors.select("embedding", similarity.vector_key(F.col("embedding")).alias("k")).distinct()
     assert keys.count() == 3 and {len(r.k) for r in keys.collect()} == {16}
+
+
+def test_generated_parsing_methods_stay_small_enough_for_the_jit(spark, capsys):
+    """The JVM never compiles a method of more than 8,000 bytes."""
+    import re
+
+    from pressledger.functions.money import parse_arr
+
+    raw = spark.range(3).selectExpr("concat('$', id, 'M') AS revenue_raw").localCheckpoint()
+    limit = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", 65535)
+    try:
+        parse_arr(raw).explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", limit)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000
+
+
+def test_first_store_update_compares_nothing(spark, small, tmp_path, monkeypatch):
+    from pressledger.plans import incremental, model
+    from workloads import testdata as td
+
+    seen = []
+    original = incremental.detect_changes
+    monkeypatch.setattr(incremental, "detect_changes", lambda *a: seen.append(1) or original(*a))
+    prepared = model.prepare_articles(td.orders_articles(spark, small))
+    first = incremental.update_store(spark, str(tmp_path), prepared, 4)
+    assert seen == [] and {r.change for r in first.changes.select("change").distinct().collect()} == {"INSERTED"}
+    again = incremental.update_store(spark, str(tmp_path), prepared, 4)
+    assert seen == [1] and again.cleaned == 0 and again.rewritten == [] and again.folders == first.folders
