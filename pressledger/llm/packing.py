@@ -4,8 +4,10 @@ The words of a text are hashed into a signed vector, projected to four dimension
 placed on a Hilbert curve. Documents are range-sorted by curve position, so neighbours share words; copies lie
 at one position, and ties are spread by a hash of id and text, so a large group of copies covers several ranges.
 Every range becomes one stream of tokens, cut at each sequence's end; there are as many ranges as the texts have pieces
-of 32 MB, at most 65,536 (larger ranges are streamed and sorted on disk, never held). What remains of a range, less than a sequence, is
-cut into sequences whose lengths are powers of two: nothing is padded.
+of 32 MB, at most 65,536 (larger ranges are streamed and sorted on disk, never held). Their limits come from some 200 sampled
+documents a range, weighed by bytes, so that a curve position is worked out once for every other document; they decide how even the
+ranges are and nothing else. What remains of a range, less than a sequence, is cut into sequences whose lengths are powers of two:
+nothing is padded.
 
 Contract. ``pack_documents`` returns one row per piece: ``doc_id, start, length, ids`` (little-endian unsigned 32-bit),
 ``doc_tokens, sequence_id, offset``. A document is its ids and then the end id; a null or empty text is the end id
@@ -28,6 +30,8 @@ _DIRECTIONS = np.random.default_rng(20).normal(size=(1 << _WIDTH_BITS, DIMS)) /
 PIECES_AT_ONCE = 2048
 #: Bytes of text in a range, and the most ranges: beyond them a shuffle's own book-keeping outweighs its data.
 RANGE_BYTES, MAX_RANGES = 32 << 20, 1 << 16
+#: Documents sampled for the limits, per range and in all; each is three numbers on the driver.
+SAMPLE_ROWS, MAX_SAMPLE = 200, 1 << 20
 
 
 def hilbert_index(points: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -71,13 +75,25 @@ def curve_keys(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return hilbert_index(np.clip((spread + 1) / 2 * (1 << BITS), 0, (1 << BITS) - 1))
 
 
-def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        data, offsets = utf8(batch.column(1))
-        for i, j in row_chunks(offsets):
-            keys = curve_keys(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-            part = batch.slice(i, j - i)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *part.columns], names=["key", "doc_id", "text", "tie"])
+def places(keys: np.ndarray, ties: np.ndarray) -> np.ndarray:
+    """Curve positions, and among equal ones the upper 31 bits of the ties, as one number."""
+    return keys << 31 | (ties >> 33) + (1 << 30)
+
+
+def _keyed(limits: np.ndarray):
+    """Curve position and range of every text; ``limits`` are the first places of all ranges but the first."""
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = utf8(batch.column(1))
+            for i, j in row_chunks(offsets):
+                keys = curve_keys(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                part = batch.slice(i, j - i)
+                found = np.searchsorted(limits, places(keys, part.column(2).to_numpy()), side="right")
+                at = pa.array(found.astype(np.int32))
+                yield pa.RecordBatch.from_arrays([at, pa.array(keys, pa.int64()), *part.columns], names=["range", "key", "doc_id", "text", "tie"])
+
+    return keyed
 
 
 def _packer(path: str, end_id: int, length: int):
@@ -134,19 +150,44 @@ def _packer(path: str, end_id: int, length: int):
     return pack
 
 
+def _ranges(total: int | None) -> int:
+    return max(1, min(MAX_RANGES, -(-(total or 0) // RANGE_BYTES)))
+
+
 def range_count(docs: DataFrame) -> int:
     """Ranges for the texts of ``docs``, by their bytes."""
-    total = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
-    return max(1, min(MAX_RANGES, -(-total // RANGE_BYTES)))
+    return _ranges(docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0])
+
+
+def range_limits(rows: DataFrame) -> np.ndarray:
+    """First place of every range but the first, for ``rows`` (doc_id, text, tie), by the bytes of sampled texts."""
+    none = np.empty(0, np.int64)
+    size = F.coalesce(F.octet_length("text"), F.lit(0)) + 1
+    count, total = rows.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
+    ranges = _ranges(total)
+    if ranges == 1:
+        return none
+    # Another hash than the tie, which orders the copies of a text.
+    share = min(1.0, min(MAX_SAMPLE, SAMPLE_ROWS * ranges) / count)
+    some = rows.filter(F.pmod(F.xxhash64(F.lit(7), "doc_id", "tie"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    keyed = some.mapInArrow(_keyed(none), "range int, key long, doc_id long, text string, tie long")
+    found = keyed.select("key", "tie", size.alias("size")).toArrow()
+    place = places(found.column("key").to_numpy(), found.column("tie").to_numpy())
+    if not len(place):
+        return none
+    order = np.argsort(place)
+    weight = np.cumsum(found.column("size").to_numpy()[order])
+    at = np.searchsorted(weight, weight[-1] * np.arange(1, ranges) / ranges, side="right")
+    return np.unique(place[order[np.minimum(at, len(place) - 1)]])
 
 
 def pack_documents(docs: DataFrame, path: str, end_id: int = 0, length: int = 1024) -> DataFrame:
     """One row per piece of a document; path: a byte-level tokenizer file; see the module's contract."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("doc_id", "text"))
-    keyed = rows.mapInArrow(_keyed, "key long, doc_id long, text string, tie long")
-    order = ("key", "tie", "doc_id")
-    ordered = keyed.repartitionByRange(range_count(rows), *order).sortWithinPartitions(*order)
+    limits = range_limits(rows)
+    keyed = rows.mapInArrow(_keyed(limits), "range int, key long, doc_id long, text string, tie long")
+    ordered = keyed.repartitionById(len(limits) + 1, F.col("range")).sortWithinPartitions("key", "tie", "doc_id")
     return ordered.select("doc_id", "text").mapInArrow(
         _packer(path, end_id, length),
         "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long",

@@ -193,3 +193,20 @@ def test_calling_codes_have_national_lengths(spark):
     votes = {r.doc_id: r.v_gazetteer for r in pii.judged(spans).collect()}
     assert votes == {1: 1, 2: -1, 3: 1, 4: 1, 5: 1}
     assert all(re.search(f"^(?:{zone})$", code) for code, (zone, *_) in zip(("1", "49", "353"), pii.CALLING, strict=True))
+
+
+def test_packing_works_out_places_once_and_ranges_are_even(spark, monkeypatch):
+    """Range limits come from sampled documents, weighed by bytes; ranges are dealt by number and not sampled again."""
+    rows = [(i, f"w{i % 97} v{i} " * (400 if i % 50 == 0 else 8)) for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(packing, "RANGE_BYTES", 40_000)
+    packed = packing.pack_documents(docs, vocabulary())
+    assert "rangepartitioning" not in packed._jdf.queryExecution().executedPlan().toString()
+    tied = docs.withColumn("tie", F.xxhash64("doc_id", "text"))
+    limits = packing.range_limits(tied)
+    assert len(limits) + 1 >= packing.range_count(docs) - 1
+    dealt = tied.mapInArrow(packing._keyed(limits), "range int, key long, doc_id long, text string, tie long")
+    sizes = [r.b for r in dealt.groupBy("range").agg(F.sum(F.octet_length("text")).alias("b")).collect()]
+    assert len(sizes) == len(limits) + 1 and max(sizes) < 2.5 * 40_000
+    got = packed.groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("t")).collect()
+    assert len(got) == 2000 and all(r.n == r.t for r in got)
