@@ -43,6 +43,8 @@ BLOCK = 2048
 NEIGHBOURS = 128
 #: Ids sent to every task at most; beyond, a shuffle join.
 BROADCAST_IDS = 1_000_000
+#: Ids of a table of links or roots in one task; beyond, there are more tasks.
+TASK_IDS = 1 << 17
 FINE = 1024
 #: Classes of at most so many shingles find each other by rare shingles, not by sketches.
 EXACT = 80
@@ -354,13 +356,13 @@ def _proposer(limit: float, best: int | None):
     return propose
 
 
-def propose_pairs(buckets: DataFrame, classes: DataFrame, labels: DataFrame, limit: float, best: int | None) -> DataFrame:
+def propose_pairs(buckets: DataFrame, classes: DataFrame, labels: DataFrame, limit: float, best: int | None, rows: int | None = None) -> DataFrame:
     """Distinct pairs of classes of different components that share a bucket and look similar enough.
 
-    classes: cid, n_shingles, sketch, and for the round without ``best`` also the finer sketch, fine.
+    classes: cid, n_shingles, sketch, and for the round without ``best`` also the finer sketch, fine. ``rows``: of labels, if known.
     """
     whole = Window.partitionBy("key")
-    named = buckets.join(_small(labels), "cid").repartition("key").withColumns({
+    named = buckets.join(_small(labels, rows), "cid").repartition("key").withColumns({
         "_lo": F.min("comp").over(whole), "_hi": F.max("comp").over(whole), "_blocks": F.max("block").over(whole)
     })
     rows = named.where(F.col("_lo") != F.col("_hi")).drop("_lo", "_hi").join(classes, "cid")
@@ -415,39 +417,91 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(_links(percent), "a long, b long").distinct()
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """A checkpointed table of ids: sent to every task if it has few rows, else left to a shuffle join."""
-    return F.broadcast(df) if df.count() <= BROADCAST_IDS else df
+def _small(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """A checkpointed table of ids: sent to every task if it has few rows (counted here unless known), else left to a shuffle join."""
+    return F.broadcast(df) if (df.count() if rows is None else rows) <= BROADCAST_IDS else df
+
+
+def _stars(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that connect the same ids: the smallest one of each connected part with every other."""
+    ids, ends = np.unique(np.concatenate((u, v)), return_inverse=True)
+    x, y = ends.reshape(2, -1)
+    low = np.arange(len(ids))
+    while True:
+        a, b = low[x], low[y]
+        apart = a != b
+        if not apart.any():
+            break
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(low, np.maximum(a, b), np.minimum(a, b))
+        while (low[low] != low).any():
+            low = low[low]
+    moved = np.flatnonzero(low != np.arange(len(ids)))
+    return ids[low[moved]], ids[moved]
+
+
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The edges of a task as stars, so that no long chain of its own is left; at most 2 ``TASK_IDS`` are held."""
+    held = np.zeros((2, 0), dtype=np.int64)
+    for batch in batches:
+        held = np.concatenate((held, [batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1)]), axis=1)
+        if held.shape[1] > 2 * TASK_IDS:
+            held = np.stack(_stars(*held))
+            if held.shape[1] > TASK_IDS:
+                yield pa.RecordBatch.from_arrays([pa.array(held[0]), pa.array(held[1])], names=["u", "v"])
+                held = held[:, :0]
+    held = np.stack(_stars(*held))
+    yield pa.RecordBatch.from_arrays([pa.array(held[0]), pa.array(held[1])], names=["u", "v"])
+
+
+def _thinned(edges: DataFrame, rows: int) -> DataFrame:
+    """Edges (u, v) as stars of each task. Tasks are as few as ``TASK_IDS`` allows, so that what is left of an input meets soon."""
+    return edges.coalesce(_parts(rows)).mapInArrow(_forest, "u long, v long")
+
 
+def _parts(rows: int) -> int:
+    """Tasks for a table of so many links, of two ids each."""
+    return max(1, -(-2 * rows // TASK_IDS))
 
-def contracted(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """Labels after joining the components that the links connect, each under its smallest label.
 
-    Every component hooks onto its smallest neighbour and chains are halved until all point at a root; links are then
-    taken over to the roots, and those inside a component vanish. Each round leaves fewer components with links.
+def contracted(labels: DataFrame, links: DataFrame, rows: int | None = None) -> DataFrame:
+    """Labels after joining the components that the links connect, each under its smallest label. ``rows``: of labels, if known.
+
+    In each round links are thinned within each task, every component hooks onto its smallest neighbour, and chains are halved until
+    all point at a root; links are taken over to the roots, and those inside a component vanish. Each round leaves fewer
+    components with links. Each job costs the driver plans, events and threads, however few ids are left; so tables of ids are
+    held in no more partitions than they need, and sizes are counted along with what ends a loop.
     """
-    named = _small(labels)
+    total = left = links.count()
+    if not left:
+        return labels
+    named = _small(labels, rows)
     here, there = (named.select(F.col("cid").alias(x), F.col("comp").alias(y)) for x, y in (("a", "u"), ("b", "v")))
-    edges = links.join(here, "a").join(there, "b").where(F.col("u") != F.col("v")).select("u", "v").distinct()
-    edges, moves = checkpointed(edges), None
-    while not edges.isEmpty():
+    # Stored as joined: the few tasks below must not become those of the join.
+    moves, edges = None, checkpointed(links.join(here, "a").join(there, "b").where(F.col("u") != F.col("v")).select("u", "v"))
+    while left:
+        parts = _parts(left)
+        edges = checkpointed(_thinned(edges, left))
         both = edges.union(edges.select("v", "u"))
-        root = checkpointed(both.groupBy(F.col("u").alias("c")).agg(F.min("v").alias("m")).select("c", F.least("c", "m").alias("root")))
-        while True:
-            up = _small(root).select(F.col("c").alias("root"), F.col("root").alias("higher"))
-            jumped = checkpointed(root.join(up, "root").select("c", F.col("higher").alias("to"), (F.col("higher") < F.col("root")).alias("moved")))
-            root = jumped.select("c", F.col("to").alias("root"))
-            if jumped.where("moved").isEmpty():
-                break
-        ends = _small(root)
+        root = both.groupBy(F.col("u").alias("c")).agg(F.min("v").alias("m")).select("c", F.least("c", "m").alias("root"))
+        root = checkpointed(root.coalesce(parts))
+        ids = moved = root.count()
+        while moved:
+            up = _small(root, ids).select(F.col("c").alias("root"), F.col("root").alias("higher"))
+            jumped = root.join(up, "root").select("c", F.col("higher").alias("to"), (F.col("higher") < F.col("root")).alias("moved"))
+            jumped = checkpointed(jumped.coalesce(parts))
+            root, moved = jumped.select("c", F.col("to").alias("root")), jumped.where("moved").count()
+        ends = _small(root, ids)
         if moves is None:
             moves = root
         else:
-            moves = checkpointed(moves.join(ends.select(F.col("c").alias("root"), F.col("root").alias("to")), "root", "left").select("c", F.coalesce("to", "root").alias("root")))
+            moves = checkpointed(moves.join(ends.select(F.col("c").alias("root"), F.col("root").alias("to")), "root", "left").select("c", F.coalesce("to", "root").alias("root")).coalesce(_parts(total)))
+        if parts == 1:
+            break  # one task's stars are whole components
         here, there = (ends.select(F.col("c").alias(x), F.col("root").alias(y)) for x, y in (("u", "p"), ("v", "q")))
-        edges = checkpointed(edges.join(here, "u").join(there, "v").where(F.col("p") != F.col("q")).select(F.col("p").alias("u"), F.col("q").alias("v")).distinct())
-    if moves is None:
-        return labels
+        edges = edges.join(here, "u").join(there, "v").where(F.col("p") != F.col("q")).select(F.col("p").alias("u"), F.col("q").alias("v"))
+        edges = checkpointed(edges.distinct())
+        left = edges.count()
     renamed = labels.join(_small(moves).withColumnRenamed("c", "comp"), "comp", "left")
     return checkpointed(renamed.select("cid", F.coalesce("root", "comp").alias("comp")))
 
@@ -462,10 +516,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     classes = checkpointed(linked.groupBy(*keys).agg(F.min("doc_id").alias("cid"), F.min("sketch").alias("sketch"), F.min("small").alias("small")))
     members = checkpointed(linked.select("doc_id", *keys).join(classes.select(*keys, "cid"), keys).select("doc_id", "cid"))
     labels = checkpointed(classes.select("cid", F.col("cid").alias("comp")).distinct())
+    n = labels.count()
 
     repeats = members.groupBy("doc_id").agg(F.min("cid").alias("a"), F.max("cid").alias("_hi")).where(F.col("a") != F.col("_hi"))
     same = members.join(repeats.drop("_hi"), "doc_id").where(F.col("a") != F.col("cid")).select("a", F.col("cid").alias("b"))
-    labels = contracted(labels, checkpointed(same))
+    labels = contracted(labels, checkpointed(same), n)
 
     # Classes too small to be near one beyond EXACT have no bands.
     wide = classes.where(100 * F.col("n_shingles") >= percent * (EXACT + 1))
@@ -478,10 +533,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     fine = checkpointed(texts.mapInArrow(_fine_rows, "cid long, fine binary"))
     for best in (2, None):
         known = sized if best else sized.join(fine, "cid")
-        pairs = checkpointed(propose_pairs(buckets, known, labels, limit, best))
-        labels = contracted(labels, checkpointed(verified(pairs, texts, percent)))
+        pairs = checkpointed(propose_pairs(buckets, known, labels, limit, best, n))
+        labels = contracted(labels, checkpointed(verified(pairs, texts, percent)), n)
 
-    named = members.join(_small(labels), "cid").groupBy("doc_id").agg(F.min("comp").alias("component_id"))
+    named = members.join(_small(labels, n), "cid").groupBy("doc_id").agg(F.min("comp").alias("component_id"))
     out = own.select("doc_id", "n_shingles").join(named, "doc_id", "left")
     out = out.withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))

@@ -210,3 +210,61 @@ def test_packing_works_out_places_once_and_ranges_are_even(spark, monkeypatch):
     assert len(sizes) == len(limits) + 1 and max(sizes) < 2.5 * 40_000
     got = packed.groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("t")).collect()
     assert len(got) == 2000 and all(r.n == r.t for r in got)
+
+
+def _chain(spark, n):
+    """Labels of n ids and links of each id to the next, dealt over many partitions."""
+    labels = spark.range(n).selectExpr("id AS cid", "id AS comp").repartition(64, "cid").localCheckpoint()
+    links = spark.range(n - 1).selectExpr("id AS a", "id + 1 AS b").where("a % 500 <> 499").repartition(64, "a").localCheckpoint()
+    return labels, links
+
+
+def test_links_of_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "TASK_IDS", 300)
+    labels, links = _chain(spark, 2000)
+    links = links.union(links.selectExpr("b AS a", "a AS b").where("a % 3 = 0"))
+    assert {r.cid: r.comp for r in neardup.contracted(labels, links).collect()} == {i: i - i % 500 for i in range(2000)}
+
+
+def test_few_links_take_few_jobs_and_tasks(spark):
+    """Every job is plans, events and threads of the driver, and every task an event."""
+    held = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    labels, links = _chain(spark, 2000)
+    empty = neardup.checkpointed(links.where("a < 0"))
+    tracker, counts = spark.sparkContext.statusTracker(), {}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        for group, given in (("chains", links), ("none", empty)):
+            spark.sparkContext.setJobGroup(group, group)
+            found = neardup.contracted(labels, given)
+            jobs = tracker.getJobIdsForGroup(group)
+            stages = {s for j in jobs for s in tracker.getJobInfo(j).stageIds}
+            counts[group] = len(jobs), sum(x.numTasks for x in map(tracker.getStageInfo, stages) if x and x.numCompletedTasks)
+            want = {i: i - i % 500 if group == "chains" else i for i in range(2000)}
+            assert {r.cid: r.comp for r in found.collect()} == want
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # (69, 3545) and (6, 194) before links were thinned within tasks.
+    assert counts["chains"][0] <= 35 and counts["chains"][1] <= 1500 and counts["none"][0] <= 2, counts
+
+
+def test_stars_connect_what_the_edges_connect():
+    rng = np.random.default_rng(3)
+    for n, m in ((1, 0), (5, 3), (300, 200), (300, 900), (5000, 4000)):
+        u, v = rng.integers(0, n, m) * 7, rng.integers(0, n, m) * 7
+        parent = {i: i for i in [*u.tolist(), *v.tolist()]}
+
+        def root(i):
+            while parent[i] != i:
+                i = parent[i]
+            return i
+
+        for x, y in zip(u.tolist(), v.tolist(), strict=True):
+            x, y = sorted((root(x), root(y)))
+            parent[y] = x
+        low, other = neardup._stars(u.astype(np.int64), v.astype(np.int64))
+        assert dict(zip(other.tolist(), low.tolist(), strict=True)) == {i: root(i) for i in parent if root(i) != i}
