@@ -74,3 +74,25 @@ def test_first_store_update_compares_nothing(spark, small, tmp_path, monkeypatch
     assert seen == [] and {r.change for r in first.changes.select("change").distinct().collect()} == {"INSERTED"}
     again = incremental.update_store(spark, str(tmp_path), prepared, 4)
     assert seen == [1] and again.cleaned == 0 and again.rewritten == [] and again.folders == first.folders
+
+
+def test_kept_rows_of_the_store_are_not_shuffled(spark, tmp_path, monkeypatch):
+    """Before: all old rows of touched buckets were shuffled twice, by id and by bucket."""
+    from pressledger.plans import incremental
+
+    rows = spark.range(300).selectExpr("concat('a', id) AS article_id", "id AS n", "int(id % 2) AS bucket")
+    rows.repartition(2).write.partitionBy("bucket").parquet(str(tmp_path / "rows"))
+    old = spark.read.parquet(str(tmp_path / "rows"))
+    gone = incremental._placed(old).where("n % 7 = 3 OR n > 250").select("article_id", "bucket", "_file", "_row")
+    want = sorted(n for n in range(300) if n % 7 != 3 and n <= 250)
+    monkeypatch.setattr(incremental, "BITMAP_ROWS", 16)
+    for most, shuffled in ((1000, False), (0, True)):
+        monkeypatch.setattr(incremental, "MAX_BITMAPS", most)
+        left = incremental._without(old, gone)
+        assert sorted(r.n for r in left.select("n").collect()) == want
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            plan = incremental._without(old, gone).select("n")._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert ("hashpartitioning" in plan) == shuffled
